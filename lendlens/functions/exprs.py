@@ -136,3 +136,23 @@ def string_columns(df, exclude=()) -> list[str]:
 
 def round_double(c, digits: int = 6) -> Column:
     return F.round(col(c).cast("double"), digits)
+
+
+def np_round(c, digits: int) -> Column:
+    """Round half to even on ``x·10^d`` as NumPy/pandas ``round`` does (the
+    reference's rounding of reported percentages)."""
+    m = F.lit(float(10 ** digits))
+    return F.rint(col(c).cast("double") * m) / m
+
+
+def half_away_round(c, digits: int) -> Column:
+    """Round half away from zero on ``x·10^d`` (C ``round``), which is also how
+    the SQL oracle rounds doubles; used to present results at fixed precision."""
+    m = F.lit(float(10 ** digits))
+    v = col(c).cast("double") * m
+    a = F.abs(v)
+    fl = F.floor(a).cast("double")
+    r = (F.when(a >= F.lit(float(2 ** 52)), v)
+         .when(a - fl == 0.5, F.signum(v) * (fl + 1.0))
+         .otherwise(F.rint(v)))
+    return r / m

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendlens.functions.exprs import HOUR_BINS, hour_bin, rank_in
+from lendlens.functions.exprs import HOUR_BINS, hour_bin, np_round, rank_in
 from lendlens.functions.quantiles import exact_quantiles
 
 
@@ -72,7 +72,7 @@ def topk_others(df: DataFrame, col: str, k: int = 10) -> DataFrame:
     w_all = Window.partitionBy()  # over at most k+1 aggregated rows
     rank = Window.orderBy(F.desc("_top"), F.desc("count"), F.asc("category"))
     return out.select(F.row_number().over(rank).alias("rank"), "category", "count",
-                      F.round(F.col("count") * 100.0 / F.sum("count").over(w_all), 1).alias("percent"))
+                      np_round(F.col("count") * 100.0 / F.sum("count").over(w_all), 1).alias("percent"))
 
 
 def shared_axis_limit(df: DataFrame, cols: list[str], k: int = 10) -> DataFrame:
@@ -117,7 +117,7 @@ def amplitude(df: DataFrame, feature: str, target: str = "TARGET", top_n: int =
     g = g.withColumn("diff", F.col("default_pct") - F.col("non_default_pct")).withColumn(
         "amplitude", F.abs(F.col("diff")) / ((F.col("default_pct") + F.col("non_default_pct")) / 2 + 1e-10))
     top = g.orderBy(F.desc("amplitude"), F.asc("category")).limit(top_n)
-    return top.select("category", *[F.round(c, 3).alias(c) for c in
+    return top.select("category", *[np_round(c, 3).alias(c) for c in
                                     ("default_pct", "non_default_pct", "diff", "amplitude")])
 
 

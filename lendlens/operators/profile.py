@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendlens.functions.exprs import NUMERIC_TYPES, any_null, row_null_count
+from lendlens.functions.exprs import NUMERIC_TYPES, any_null, np_round, row_null_count
 from lendlens.functions.quantiles import exact_quantiles
 
 
@@ -123,7 +123,7 @@ def missing_summary(df: DataFrame, cols=None) -> DataFrame:
 def missing_table(df: DataFrame, cols=None) -> DataFrame:
     """Columns with any NULL, percent rounded to 2, most missing first."""
     return (missing_summary(df, cols).where(F.col("missing_count") > 0)
-            .withColumn("missing_percent", F.round("missing_percent", 2))
+            .withColumn("missing_percent", np_round("missing_percent", 2))
             .orderBy(F.desc("missing_percent"), F.asc("column")))
 
 
@@ -154,7 +154,7 @@ def row_missing_over(df: DataFrame, thresholds=ROW_THRESHOLDS, cols=None) -> Dat
     row = base.agg(F.count(F.lit(1)).alias("__n"),
                    *[F.sum((F.col("p") > t).cast("long")).alias(f"c{i}") for i, t in enumerate(thresholds)])
     parts = [F.struct(F.lit(int(t)).alias("threshold"), F.col(f"c{i}").alias("row_count"),
-                      F.round(F.col(f"c{i}") * 100.0 / F.col("__n"), 2).alias("row_percent"))
+                      np_round(F.col(f"c{i}") * 100.0 / F.col("__n"), 2).alias("row_percent"))
              for i, t in enumerate(thresholds)]
     return row.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
 

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendlens.functions.exprs import half_away_round
 from lendlens.sources import applications, table
 from lendlens.sources.fixtures import oracle
 
@@ -24,7 +25,7 @@ DIGITS = 6
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every double column (both engines agree to this precision)."""
-    return df.select(*[F.round(F.col(c), digits).alias(c) if t in ("double", "float") else F.col(c)
+    return df.select(*[half_away_round(c, digits).alias(c) if t in ("double", "float") else F.col(c)
                        for c, t in df.dtypes])
 
 

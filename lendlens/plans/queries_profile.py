@@ -63,7 +63,7 @@ _TOPK_SQL = """
 , lab AS (SELECT CASE WHEN rn <= 10 THEN category ELSE 'Others' END AS category, rn <= 10 AS top, cnt FROM rk)
 , g AS (SELECT category, top, sum(cnt) AS cnt FROM lab GROUP BY category, top)
 SELECT CAST(row_number() OVER (ORDER BY top DESC, cnt DESC, category ASC) AS INTEGER) AS rank, category,
-       CAST(cnt AS BIGINT) AS count, round(CAST(cnt AS DOUBLE) * 100.0 / sum(cnt) OVER (), 1) AS percent
+       CAST(cnt AS BIGINT) AS count, round_even(CAST(cnt AS DOUBLE) * 100.0 / sum(cnt) OVER (), 1) AS percent
 FROM g"""
 
 
@@ -100,8 +100,8 @@ _J7_SQL = """
         FROM g, tot)
 , a AS (SELECT category, default_pct, non_default_pct, default_pct - non_default_pct AS diff,
                abs(default_pct - non_default_pct) / ((default_pct + non_default_pct) / 2 + 1e-10) AS amp_raw FROM p)
-SELECT category, round(default_pct, 3) AS default_pct, round(non_default_pct, 3) AS non_default_pct,
-       round(diff, 3) AS diff, round(amp_raw, 3) AS amplitude
+SELECT category, round_even(default_pct, 3) AS default_pct, round_even(non_default_pct, 3) AS non_default_pct,
+       round_even(diff, 3) AS diff, round_even(amp_raw, 3) AS amplitude
 FROM a ORDER BY amp_raw DESC, category ASC LIMIT 10"""
 
 
@@ -195,7 +195,7 @@ def c8_missing_summary(spark, sf_dir):
 
 
 @register("c9_missing_table", oracle(f"""
-SELECT "column", missing_count, round(missing_percent, 2) AS missing_percent
+SELECT "column", missing_count, round_even(missing_percent, 2) AS missing_percent
 FROM ({_missing_union(APP_COLUMNS)}) m WHERE missing_count > 0"""))
 def c9_missing_table(spark, sf_dir):
     """Columns with any NULL, percent to 2 dp, most missing first."""
@@ -229,7 +229,7 @@ def _row_over_sql(where: str = "TRUE", cols=APP_COLUMNS) -> str:
     cnt = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in cols)
     parts = " UNION ALL ".join(
         f"SELECT CAST({t} AS INTEGER) AS threshold, CAST(sum(CASE WHEN p > {t} THEN 1 ELSE 0 END) AS BIGINT) AS row_count, "
-        f"round(CAST(sum(CASE WHEN p > {t} THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / count(*), 2) AS row_percent FROM p"
+        f"round_even(CAST(sum(CASE WHEN p > {t} THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / count(*), 2) AS row_percent FROM p"
         for t in profile.ROW_THRESHOLDS)
     return f", p AS (SELECT ({cnt}) * 100.0 / {len(cols)} AS p FROM applications WHERE {where}) {parts}"
 
@@ -420,7 +420,7 @@ def _d1_sql(cols) -> str:
     for c in cols:
         parts.append(
             f"SELECT '{c}' AS \"column\", CAST(sum(CASE WHEN {c} < lo OR {c} > hi THEN 1 ELSE 0 END) AS BIGINT) AS outliers, "
-            f"{r(f'CAST(sum(CASE WHEN {c} < lo OR {c} > hi THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / count({c})', 2)} "
+            f"round_even(CAST(sum(CASE WHEN {c} < lo OR {c} > hi THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / count({c}), 2) "
             f"AS outlier_percent, {r('lo')} AS lower, {r('hi')} AS upper FROM applications, "
             f"(SELECT quantile_cont({c}, 0.25) - 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) AS lo, "
             f"quantile_cont({c}, 0.75) + 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) AS hi "
