@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,7 +151,7 @@ def corr_p_value(r: float, n: float) -> float | None:
 
 def _vec(fn, *series: pd.Series) -> pd.Series:
     out = [fn(*[None if pd.isna(v) else float(v) for v in vals]) for vals in zip(*series)]
-    return pd.Series(np.array([np.nan if v is None else v for v in out], dtype="float64"))
+    return pd.Series(out, dtype="Float64")  # nullable: undefined values arrive as NULL
 
 
 @F.pandas_udf(T.DoubleType())
