@@ -156,3 +156,12 @@ def half_away_round(c, digits: int) -> Column:
          .when(a - fl == 0.5, F.signum(v) * (fl + 1.0))
          .otherwise(F.rint(v)))
     return r / m
+
+
+def safe_corr(a, b) -> Column:
+    """Pearson correlation over rows where both are present (as ``corr``),
+    NULL instead of an ANSI division error when either side is constant."""
+    x, y = col(a).cast("double"), col(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    xs, ys = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_samp(xs, ys), F.stddev_samp(xs) * F.stddev_samp(ys))

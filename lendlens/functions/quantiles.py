@@ -38,42 +38,28 @@ def _targets_for(n: int, probs) -> dict[float, tuple[int, int, float]]:
     return out
 
 
-def exact_quantiles(df: DataFrame, columns, probs, max_collect: int = MAX_COLLECT,
-                    buckets: int = BUCKETS) -> dict[str, dict[float, float | None]]:
-    """Exact interpolated quantiles.
+def order_statistics(df: DataFrame, columns: dict, ranks: dict, max_collect: int = MAX_COLLECT,
+                     buckets: int = BUCKETS) -> dict[str, dict[int, float | None]]:
+    """Exact k-th smallest values (0-based ranks, NULLs skipped).
 
-    ``columns`` is a list of names or a dict ``name -> Column`` (virtual
-    columns, e.g. ``when(TARGET = 1, x)`` for per-class quantiles). NULLs are
-    skipped. Returns ``{name: {p: value}}``; ``None`` for an empty column.
+    ``columns`` maps names to Columns; ``ranks`` maps the same names to the
+    ranks wanted (a rank beyond the count gives ``None``).
     """
-    if not isinstance(columns, dict):
-        columns = {c: F.col(c) for c in columns}
     names = list(columns)
-    if not names:
-        return {}
-    exprs: dict[str, Column] = {c: columns[c].cast("double") for c in names}
-    base = df.select(*[exprs[c].alias(f"v{i}") for i, c in enumerate(names)])
+    base = df.select(*[columns[c].cast("double").alias(f"v{i}") for i, c in enumerate(names)])
     aggs = []
     for i in range(len(names)):
         v = F.col(f"v{i}")
         aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
     stats = base.agg(*aggs).first()
-
-    # One target per distinct (column, rank).
     targets: dict[tuple[int, int], dict] = {}
-    plan: dict[str, dict[float, tuple[int, int, float]] | None] = {}
     for i, c in enumerate(names):
-        n = stats[f"n{i}"]
-        if not n:
-            plan[c] = None
-            continue
-        plan[c] = _targets_for(n, probs)
-        for k0, k1, _ in plan[c].values():
-            for k in (k0, k1):
+        n = stats[f"n{i}"] or 0
+        for k in ranks.get(c, []):
+            if 0 <= k < n:
                 lo, hi = stats[f"lo{i}"], stats[f"hi{i}"]
                 targets.setdefault((i, k), {"lo": lo, "hi": hi, "below": 0, "count": n,
                                             "value": lo if lo == hi else None})
-
     while True:
         open_t = [(key, t) for key, t in targets.items() if t["value"] is None]
         if not open_t:
@@ -84,16 +70,41 @@ def exact_quantiles(df: DataFrame, columns, probs, max_collect: int = MAX_COLLEC
             _resolve_by_collect(base, small)
         if large:
             _refine_by_buckets(base, large, buckets)
+    out: dict[str, dict[int, float | None]] = {}
+    for i, c in enumerate(names):
+        out[c] = {k: (targets[(i, k)]["value"] if (i, k) in targets else None) for k in ranks.get(c, [])}
+    out["__counts__"] = {c: stats[f"n{i}"] or 0 for i, c in enumerate(names)}
+    return out
 
-    result: dict[str, dict[float, float | None]] = {}
+
+def exact_quantiles(df: DataFrame, columns, probs, max_collect: int = MAX_COLLECT,
+                    buckets: int = BUCKETS) -> dict[str, dict[float, float | None]]:
+    """Exact interpolated quantiles.
+
+    ``columns`` is a list of names or a dict ``name -> Column`` (virtual
+    columns, e.g. ``when(TARGET = 1, x)`` for per-class quantiles). NULLs are
+    skipped. Returns ``{name: {p: value}}``; ``None`` for an empty column.
+    """
+    if not isinstance(columns, dict):
+        columns = {c: F.col(c) for c in columns}
+    names = list(columns)
+    if not names:
+        return {}
+    counts = df.agg(*[F.count(columns[c]).alias(f"n{i}") for i, c in enumerate(names)]).first()
+    plans, ranks = {}, {}
     for i, c in enumerate(names):
-        if plan[c] is None:
+        n = counts[f"n{i}"] or 0
+        plans[c] = _targets_for(n, probs) if n else None
+        ranks[c] = sorted({k for k0, k1, _ in (plans[c] or {}).values() for k in (k0, k1)})
+    stats = order_statistics(df, columns, ranks, max_collect, buckets)
+    result: dict[str, dict[float, float | None]] = {}
+    for c in names:
+        if plans[c] is None:
             result[c] = {p: None for p in probs}
             continue
         result[c] = {}
-        for p, (k0, k1, frac) in plan[c].items():
-            v0 = targets[(i, k0)]["value"]
-            v1 = targets[(i, k1)]["value"]
+        for p, (k0, k1, frac) in plans[c].items():
+            v0, v1 = stats[c][k0], stats[c][k1]
             result[c][p] = v0 + frac * (v1 - v0) if frac else v0
     return result
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from lendlens.functions.exprs import NUMERIC_TYPES, any_null, np_round, row_null_count
 from lendlens.functions.quantiles import exact_quantiles
+from lendlens.operators.base import JsonTransformer
 
 
 def _stack(row_df: DataFrame, entries: list[tuple[str, list[str]]], names: list[str]) -> DataFrame:
@@ -27,6 +28,14 @@ def _stack(row_df: DataFrame, entries: list[tuple[str, list[str]]], names: list[
 
 
 # ---------------------------------------------------------------- B1–B9
+class DropColumns(JsonTransformer):
+    """B1 as a pipeline stage: drop listed columns, ignoring absent names."""
+    DEFAULTS = {"columns": []}
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return drop_columns(df, self.opts["columns"])
+
+
 def drop_columns(df: DataFrame, cols) -> DataFrame:
     """B1: drop listed columns; names that are absent are ignored."""
     return df.drop(*[c for c in cols if c in df.columns])

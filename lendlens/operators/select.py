@@ -141,7 +141,8 @@ class FeatureSelectorModel(JsonModel):
         missing = set(sel) - set(df.columns)
         if missing:
             raise ValueError(f"Features missing in transform data: {sorted(missing)}")
-        return df.select(*sel)
+        keep = [c for c in self.fitted.get("passthrough", []) if c in df.columns]
+        return df.select(*keep, *sel)
 
     def get_feature_names_out(self) -> list[str]:
         return list(self.fitted["selected_features"])
@@ -152,7 +153,7 @@ class FeatureSelector(JsonEstimator):
     binary-variance filter only. ``passthrough`` columns (e.g. the label) are
     kept untouched."""
     DEFAULTS = {"model_base": "logistic", "vif_threshold": 10.0, "variance_threshold": 0.01,
-                "passthrough": ["TARGET"]}
+                "passthrough": ["ID", "TARGET"]}
     model_class = FeatureSelectorModel
 
     def _fit(self, df: DataFrame):
@@ -166,5 +167,5 @@ class FeatureSelector(JsonEstimator):
             raise ValueError(f"Unknown model_base: {o['model_base']}. Choose from: 'logistic', 'tree'")
         selected, removed_var = binary_variance_filter(df, cols, o["variance_threshold"])
         keep = [c for c in o["passthrough"] if c in df.columns]
-        return self._make_model({"selected_features": selected + keep, "removed_vif_features": removed_vif,
-                                 "removed_variance_features": removed_var})
+        return self._make_model({"selected_features": selected, "passthrough": keep,
+                                 "removed_vif_features": removed_vif, "removed_variance_features": removed_var})

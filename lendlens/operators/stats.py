@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendlens.functions.exprs import np_round
+from lendlens.functions.exprs import np_round, safe_corr
 from lendlens.functions.quantiles import exact_quantiles
 from lendlens.functions.ranking import average_ranks, running_sums
 from lendlens.functions.stats_math import chi2_sf_udf, corr_p_udf, f_sf_udf
@@ -47,7 +47,7 @@ def correlation_matrix(df: DataFrame, cols, method: str = "auto") -> DataFrame:
         method = "agg" if len(cols) <= 40 else "gram"
     if method == "agg":
         pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-        row = df.agg(*[F.corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
+        row = df.agg(*[safe_corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
         parts = []
         for k, (a, b) in enumerate(pairs):
             parts.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{k}").alias("correlation")))
@@ -93,7 +93,7 @@ def _gram_correlation(df: DataFrame, cols) -> DataFrame:
 def target_correlation(df: DataFrame, cols, target: str = "TARGET") -> DataFrame:
     """H2: correlation of each column with the target, largest |r| first."""
     cols = [c for c in cols if c != target]
-    row = df.agg(*[F.corr(c, target).alias(f"c{i}") for i, c in enumerate(cols)])
+    row = df.agg(*[safe_corr(c, target).alias(f"c{i}") for i, c in enumerate(cols)])
     parts = [F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("correlation")) for i, c in enumerate(cols)]
     out = row.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
     return out.orderBy(F.abs("correlation").desc_nulls_last(), F.asc("feature"))
@@ -110,7 +110,7 @@ def top_correlated(df: DataFrame, col: str, candidates, n: int = 5) -> DataFrame
     """The n candidates with the largest |Pearson r| against ``col``
     (itself excluded, undefined correlations dropped)."""
     cands = [c for c in candidates if c != col]
-    row = df.agg(*[F.corr(col, c).alias(f"c{i}") for i, c in enumerate(cands)])
+    row = df.agg(*[safe_corr(col, c).alias(f"c{i}") for i, c in enumerate(cands)])
     parts = [F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("correlation")) for i, c in enumerate(cands)]
     out = row.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
     out = out.where(F.col("correlation").isNotNull() & ~F.isnan("correlation"))
