@@ -38,12 +38,14 @@ def _targets_for(n: int, probs) -> dict[float, tuple[int, int, float]]:
     return out
 
 
-def order_statistics(df: DataFrame, columns: dict, ranks: dict, max_collect: int = MAX_COLLECT,
+def order_statistics(df: DataFrame, columns: dict, ranks, max_collect: int = MAX_COLLECT,
                      buckets: int = BUCKETS) -> dict[str, dict[int, float | None]]:
     """Exact k-th smallest values (0-based ranks, NULLs skipped).
 
     ``columns`` maps names to Columns; ``ranks`` maps the same names to the
-    ranks wanted (a rank beyond the count gives ``None``).
+    ranks wanted, or is a function ``(name, n) -> ranks`` evaluated once the
+    counts are known (a rank beyond the count gives ``None``). The first
+    aggregate gives counts, minima and maxima together.
     """
     names = list(columns)
     base = df.select(*[columns[c].cast("double").alias(f"v{i}") for i, c in enumerate(names)])
@@ -52,10 +54,12 @@ def order_statistics(df: DataFrame, columns: dict, ranks: dict, max_collect: int
         v = F.col(f"v{i}")
         aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
     stats = base.agg(*aggs).first()
+    counts = {c: stats[f"n{i}"] or 0 for i, c in enumerate(names)}
+    want = {c: (ranks(c, counts[c]) if callable(ranks) else ranks.get(c, [])) for c in names}
     targets: dict[tuple[int, int], dict] = {}
     for i, c in enumerate(names):
-        n = stats[f"n{i}"] or 0
-        for k in ranks.get(c, []):
+        n = counts[c]
+        for k in want[c]:
             if 0 <= k < n:
                 lo, hi = stats[f"lo{i}"], stats[f"hi{i}"]
                 targets.setdefault((i, k), {"lo": lo, "hi": hi, "below": 0, "count": n,
@@ -72,8 +76,8 @@ def order_statistics(df: DataFrame, columns: dict, ranks: dict, max_collect: int
             _refine_by_buckets(base, large, buckets)
     out: dict[str, dict[int, float | None]] = {}
     for i, c in enumerate(names):
-        out[c] = {k: (targets[(i, k)]["value"] if (i, k) in targets else None) for k in ranks.get(c, [])}
-    out["__counts__"] = {c: stats[f"n{i}"] or 0 for i, c in enumerate(names)}
+        out[c] = {k: (targets[(i, k)]["value"] if (i, k) in targets else None) for k in want[c]}
+    out["__counts__"] = counts
     return out
 
 
@@ -84,26 +88,27 @@ def exact_quantiles(df: DataFrame, columns, probs, max_collect: int = MAX_COLLEC
     ``columns`` is a list of names or a dict ``name -> Column`` (virtual
     columns, e.g. ``when(TARGET = 1, x)`` for per-class quantiles). NULLs are
     skipped. Returns ``{name: {p: value}}``; ``None`` for an empty column.
+    Low-cardinality columns resolve in the first bucket round (a bucket
+    holding one distinct value needs no further pass).
     """
     if not isinstance(columns, dict):
         columns = {c: F.col(c) for c in columns}
     names = list(columns)
     if not names:
         return {}
-    counts = df.agg(*[F.count(columns[c]).alias(f"n{i}") for i, c in enumerate(names)]).first()
-    plans, ranks = {}, {}
-    for i, c in enumerate(names):
-        n = counts[f"n{i}"] or 0
-        plans[c] = _targets_for(n, probs) if n else None
-        ranks[c] = sorted({k for k0, k1, _ in (plans[c] or {}).values() for k in (k0, k1)})
+
+    def ranks(_c, n):
+        return sorted({k for k0, k1, _ in _targets_for(n, probs).values() for k in (k0, k1)}) if n else []
+
     stats = order_statistics(df, columns, ranks, max_collect, buckets)
     result: dict[str, dict[float, float | None]] = {}
     for c in names:
-        if plans[c] is None:
+        n = stats["__counts__"][c]
+        if not n:
             result[c] = {p: None for p in probs}
             continue
         result[c] = {}
-        for p, (k0, k1, frac) in plans[c].items():
+        for p, (k0, k1, frac) in _targets_for(n, probs).items():
             v0, v1 = stats[c][k0], stats[c][k1]
             result[c][p] = v0 + frac * (v1 - v0) if frac else v0
     return result
@@ -114,39 +119,57 @@ def _in_bracket(i: int, t: dict) -> Column:
     return (v >= F.lit(t["lo"])) & (v <= F.lit(t["hi"]))
 
 
+def _any_bracket(items) -> Column:
+    cond = F.lit(False)
+    for (i, _k), t in items:
+        cond = cond | _in_bracket(i, t)
+    return cond
+
+
 def _resolve_by_collect(base: DataFrame, items) -> None:
-    """Fetch the (bounded) values inside each small bracket, tagged by target."""
-    tagged = []
-    for j, ((i, _k), t) in enumerate(items):
-        tagged.append(F.when(_in_bracket(i, t), F.struct(F.lit(j).alias("j"),
-                                                         F.col(f"v{i}").alias("v"))))
-    rows = (base.select(F.explode(F.filter(F.array(*tagged), lambda s: s.isNotNull())).alias("s"))
+    """Fetch the (bounded) values inside each small bracket. Rows are first
+    filtered to the union of the brackets, so the explode sees few rows."""
+    brackets = {}
+    for (i, _k), t in items:
+        brackets.setdefault((i, t["lo"], t["hi"]), len(brackets))
+    tagged = [F.when(_in_bracket(i, {"lo": lo, "hi": hi}),
+                     F.struct(F.lit(j).alias("j"), F.col(f"v{i}").alias("v")))
+              for (i, lo, hi), j in brackets.items()]
+    rows = (base.where(_any_bracket(items)).select(F.explode(F.array(*tagged)).alias("s"))
+            .where(F.col("s").isNotNull())
             .groupBy("s.j").agg(F.sort_array(F.collect_list("s.v")).alias("vals"))
             .collect())
     by_j = {r["j"]: r["vals"] for r in rows}
-    for j, ((_i, k), t) in enumerate(items):
-        vals = by_j.get(j, [])
+    for (i, k), t in items:
+        vals = by_j.get(brackets[(i, t["lo"], t["hi"])], [])
         t["value"] = vals[k - t["below"]]
 
 
 def _refine_by_buckets(base: DataFrame, items, buckets: int) -> None:
+    """One histogram per distinct bracket (targets of a column share one in
+    the first round), over the rows inside some bracket only."""
+    brackets = {}
+    for (i, _k), t in items:
+        brackets.setdefault((i, t["lo"], t["hi"]), len(brackets))
     tagged = []
-    for j, ((i, _k), t) in enumerate(items):
+    for (i, lo, hi), j in brackets.items():
         v = F.col(f"v{i}")
-        width = (t["hi"] - t["lo"]) / buckets
-        cell = F.least(F.floor((v - F.lit(t["lo"])) / F.lit(width)).cast("int"), F.lit(buckets - 1))
-        tagged.append(F.when(_in_bracket(i, t), F.struct(F.lit(j).alias("j"), cell.alias("b"),
-                                                         v.alias("v"))))
-    rows = (base.select(F.explode(F.filter(F.array(*tagged), lambda s: s.isNotNull())).alias("s"))
+        width = (hi - lo) / buckets
+        cell = F.least(F.floor((v - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
+        tagged.append(F.when(_in_bracket(i, {"lo": lo, "hi": hi}),
+                             F.struct(F.lit(j).alias("j"), cell.alias("b"), v.alias("v"))))
+    src = base if len(brackets) == len({i for (i, _lo, _hi) in brackets}) and all(
+        t["below"] == 0 for _, t in items) else base.where(_any_bracket(items))
+    rows = (src.select(F.explode(F.array(*tagged)).alias("s")).where(F.col("s").isNotNull())
             .groupBy("s.j", "s.b")
             .agg(F.count(F.lit(1)).alias("n"), F.min("s.v").alias("lo"), F.max("s.v").alias("hi"))
             .collect())
     cells: dict[int, list] = {}
     for r in rows:
         cells.setdefault(r["j"], []).append((r["b"], r["n"], r["lo"], r["hi"]))
-    for j, ((_i, k), t) in enumerate(items):
+    for (i, k), t in items:
         below = t["below"]
-        for _b, n, lo, hi in sorted(cells[j]):
+        for _b, n, lo, hi in sorted(cells[brackets[(i, t["lo"], t["hi"])]]):
             if k < below + n:
                 t.update(lo=lo, hi=hi, below=below, count=n, value=lo if lo == hi else None)
                 break

@@ -39,12 +39,14 @@ def _classes(df: DataFrame, target: str) -> list:
 # ---------------------------------------------------------------- H1–H3, G4
 def correlation_matrix(df: DataFrame, cols, method: str = "auto") -> DataFrame:
     """H1: pairwise-complete Pearson correlation, long form ``(col_a, col_b,
-    correlation)`` over all ordered pairs. Up to 40 columns: one aggregate of
-    ``corr`` per pair. Wider: masked Gram sums per partition (NumPy in
-    ``mapInPandas``) added up by a ``groupBy`` of p² cells."""
+    correlation)`` over all ordered pairs. Default: masked Gram sums per
+    partition (NumPy in ``mapInPandas``, one pass for any width) added up by a
+    ``groupBy`` of p² cells. ``method="agg"``: one JVM aggregate of a
+    null-safe correlation per pair (fine for a handful of columns; p² large
+    aggregates overflow the generated-code method limit)."""
     cols = list(cols)
     if method == "auto":
-        method = "agg" if len(cols) <= 40 else "gram"
+        method = "gram"
     if method == "agg":
         pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
         row = df.agg(*[safe_corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])

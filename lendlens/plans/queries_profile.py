@@ -432,3 +432,10 @@ def _d1_sql(cols) -> str:
 def d1_iqr_outlier_summary(spark, sf_dir):
     """IQR outliers per numeric column (count, percent of non-null)."""
     return quality.iqr_outlier_summary(apps(spark, sf_dir), _D1_COLS)
+
+
+@register("j6_distribution_by_target")
+def j6_distribution_by_target(spark, sf_dir):
+    """Per-class Gaussian KDE of EXT_SOURCE_2 on a 100-point grid
+    (exact; checked against a NumPy brute force in the tests)."""
+    return charts.distribution_by_target(apps(spark, sf_dir), "EXT_SOURCE_2", "TARGET")

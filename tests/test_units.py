@@ -307,3 +307,17 @@ def test_partition_invariance(spark):
     b = stats.continuous_target_stats(many, ["x"]).collect()[0]
     assert a["anova_f"] == pytest.approx(b["anova_f"], rel=1e-12)
     assert exact_quantiles(one, ["x"], [0.3]) == exact_quantiles(many, ["x"], [0.3])
+
+
+def test_kde_matches_numpy(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(t), float(x)) for t, x in zip(rng.integers(0, 2, 500), rng.normal(size=500))]
+    df = spark.createDataFrame(rows, "TARGET int, x double").repartition(4)
+    out = charts.distribution_by_target(df, "x", "TARGET", gridsize=20).collect()
+    for cls in ("0", "1"):
+        x = np.array([v for t, v in rows if str(t) == cls])
+        bw = x.std(ddof=1) * len(x) ** (-0.2)
+        pts = sorted((r["grid_index"], r["x"], r["density"]) for r in out if r["TARGET"] == cls)
+        for _, g, d in pts:
+            want = np.exp(-0.5 * ((g - x) / bw) ** 2).sum() / (len(x) * bw * math.sqrt(2 * math.pi))
+            assert d == pytest.approx(want, rel=1e-9)
