@@ -111,13 +111,16 @@ class FlexibleEncoder(JsonEstimator):
                   + o["frequency_encode_cols"])
         state = {"keep": [c for c in df.columns if c not in enc], "label": {}, "onehot": {},
                  "ordinal": {}, "frequency": {}}
+        stat_cols = [c for c in dict.fromkeys(o["label_encode_cols"] + o["onehot_encode_cols"]
+                                              + o["frequency_encode_cols"]) if c in df.columns]
+        counts = category_counts(df, stat_cols)
         for c in o["label_encode_cols"]:
             if c in df.columns:
-                state["label"][c] = _distinct_sorted(df, c, as_text_nan=True)
+                state["label"][c] = sorted({NAN_TEXT if v is None else v for v in counts[c]})
         for c in o["onehot_encode_cols"]:
             if c in df.columns:
-                cats = _distinct_sorted(df, c)
-                if df.where(F.col(c).isNull()).limit(1).count():
+                cats = sorted(v for v in counts[c] if v is not None)
+                if None in counts[c]:
                     cats.append(NAN_TEXT)  # a missing value is its own, last category
                 state["onehot"][c] = cats
         for c in o["ordinal_encode_cols"]:
@@ -125,10 +128,32 @@ class FlexibleEncoder(JsonEstimator):
                 state["ordinal"][c] = list(o["ordinal_mappings"][c])
         for c in o["frequency_encode_cols"]:
             if c in df.columns:
-                state["frequency"][c] = list(frequency_map(df, c))
+                total = sum(n for v, n in counts[c].items() if v is not None)
+                keys = sorted(v for v in counts[c] if v is not None)
+                state["frequency"][c] = [keys, [counts[c][k] / total for k in keys]]
         return self._make_model(state)
 
 
+def category_counts(df: DataFrame, cols) -> dict[str, dict]:
+    """Counts of every value (NULL included, as text) of several columns in
+    one pass: unpivot to (column, value) and group once, combined map-side.
+    At most ``MAX_CATEGORIES`` values per column are accepted."""
+    if not cols:
+        return {}
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s"))
+    grouped = long.groupBy("s.c", "s.v").agg(F.count(F.lit(1)).alias("n"))
+    limit = (MAX_CATEGORIES + 2) * len(cols)
+    rows = grouped.limit(limit).collect()
+    out: dict[str, dict] = {c: {} for c in cols}
+    for r in rows:
+        out[r["c"]][r["v"]] = r["n"]
+    for c in cols:
+        if len(out[c]) > MAX_CATEGORIES + 1:
+            raise ValueError(f"{c}: more than {MAX_CATEGORIES} categories; use frequency or target encoding")
+    return out
+
+
 class HourBinOneHotModel(JsonModel):
     def _transform(self, df: DataFrame) -> DataFrame:
         o, cats = self.opts, self.fitted["categories"]
