@@ -55,10 +55,10 @@ def classify_variables(df: DataFrame, ordinal_cols=(), max_discrete: int = 20,
                        exclude=()) -> DataFrame:
     """(variable, type) — ordinal if listed; numeric with at most
     ``max_discrete`` distinct values → discrete, else continuous; text →
-    nominal. One ``agg`` of exact distinct counts over the numeric columns."""
+    nominal. Distinct counts come from ``distinct_counts_upto``."""
     cols = [c for c in df.columns if c not in exclude]
     numeric = [c for c, t in df.dtypes if c in cols and t in NUMERIC_TYPES and c not in ordinal_cols]
-    counts = df.agg(*[F.count_distinct(c).alias(c) for c in numeric]).first() if numeric else {}
+    counts = distinct_counts_upto(df, numeric, max_discrete)
     rows = []
     for c, t in df.dtypes:
         if c not in cols:
@@ -73,6 +73,29 @@ def classify_variables(df: DataFrame, ordinal_cols=(), max_discrete: int = 20,
     return df.sparkSession.createDataFrame(rows, "variable string, type string")
 
 
+def distinct_counts_upto(df: DataFrame, cols, limit: int) -> dict[str, int]:
+    """Exact distinct counts for columns with few values; ``limit + 1`` for the
+    rest. One HyperLogLog pass (no per-column row expansion) rules out the
+    clearly high-cardinality columns; the remaining ones are counted exactly
+    by one grouped pass over (column, value), combined map-side, whose result
+    is small by construction."""
+    if not cols:
+        return {}
+    approx = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
+    # HLL++ is exact in its sparse range; 2x margin plus a floor keeps it safe.
+    low = [c for c in cols if approx[c] <= max(2 * limit, limit + 64)]
+    out = {c: limit + 1 for c in cols}
+    if low:
+        long = df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in low])).alias("s"))
+        rows = (long.where(F.col("s.v").isNotNull()).groupBy("s.c", "s.v").count()
+                .groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect())
+        got = {r["c"]: r["n"] for r in rows}
+        for c in low:
+            out[c] = got.get(c, 0)
+    return out
+
+
 def drop_incomplete_rows(df: DataFrame, subset=None) -> DataFrame:
     """Drop rows with a NULL in any (listed) column."""
     return df.na.drop(how="any", subset=subset)
