@@ -19,6 +19,7 @@ Spark ``percentile`` and DuckDB ``quantile_cont``.
 
 from __future__ import annotations
 
+import bisect
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -63,7 +64,8 @@ def order_statistics(df: DataFrame, columns: dict, ranks, max_collect: int = MAX
             if 0 <= k < n:
                 lo, hi = stats[f"lo{i}"], stats[f"hi{i}"]
                 targets.setdefault((i, k), {"lo": lo, "hi": hi, "below": 0, "count": n,
-                                            "value": lo if lo == hi else None})
+                                            "value": lo if lo == hi else None,
+                                            "less": 0 if lo == hi else None, "equal": n if lo == hi else None})
     while True:
         open_t = [(key, t) for key, t in targets.items() if t["value"] is None]
         if not open_t:
@@ -78,6 +80,11 @@ def order_statistics(df: DataFrame, columns: dict, ranks, max_collect: int = MAX
     for i, c in enumerate(names):
         out[c] = {k: (targets[(i, k)]["value"] if (i, k) in targets else None) for k in want[c]}
     out["__counts__"] = counts
+    # How many values are below / equal to each returned order statistic.
+    out["__less__"] = {c: {k: targets[(i, k)].get("less") for k in want[c] if (i, k) in targets}
+                       for i, c in enumerate(names)}
+    out["__equal__"] = {c: {k: targets[(i, k)].get("equal") for k in want[c] if (i, k) in targets}
+                        for i, c in enumerate(names)}
     return out
 
 
@@ -142,7 +149,10 @@ def _resolve_by_collect(base: DataFrame, items) -> None:
     by_j = {r["j"]: r["vals"] for r in rows}
     for (i, k), t in items:
         vals = by_j.get(brackets[(i, t["lo"], t["hi"])], [])
-        t["value"] = vals[k - t["below"]]
+        v = vals[k - t["below"]]
+        t["value"] = v
+        t["less"] = t["below"] + bisect.bisect_left(vals, v)
+        t["equal"] = bisect.bisect_right(vals, v) - bisect.bisect_left(vals, v)
 
 
 def _refine_by_buckets(base: DataFrame, items, buckets: int) -> None:
@@ -172,6 +182,8 @@ def _refine_by_buckets(base: DataFrame, items, buckets: int) -> None:
         for _b, n, lo, hi in sorted(cells[brackets[(i, t["lo"], t["hi"])]]):
             if k < below + n:
                 t.update(lo=lo, hi=hi, below=below, count=n, value=lo if lo == hi else None)
+                if lo == hi:
+                    t.update(less=below, equal=n)
                 break
             below += n
 

@@ -62,10 +62,14 @@ def stratified_split(df: DataFrame, label: str = "TARGET", id_col: str = "ID", t
     for i, k in enumerate(classes):
         if alloc[k] <= 0:
             continue
-        thr = stats[f"c{i}"][alloc[k] - 1]
+        rank = alloc[k] - 1
+        thr = stats[f"c{i}"][rank]
+        below, equal = stats["__less__"][f"c{i}"][rank], stats["__equal__"][f"c{i}"][rank]
         in_class = F.col(label) == F.lit(k)
-        below = keyed.where(in_class & (F.col("_h") < F.lit(thr))).count()
         need = alloc[k] - below
+        if need == equal:  # no tie straddles the threshold (the usual case)
+            cond = cond | (in_class & (F.col("_h") <= F.lit(thr)))
+            continue
         tied = [r[0] for r in keyed.where(in_class & (F.col("_h") == F.lit(thr)))
                 .select(id_col).orderBy(id_col).limit(need).collect()]
         cond = cond | (in_class & ((F.col("_h") < F.lit(thr)) | ((F.col("_h") == F.lit(thr))
