@@ -21,14 +21,15 @@ _CORR_SQL = " UNION ALL ".join(
 
 @register("h1_correlation_matrix", oracle(_CORR_SQL))
 def h1_correlation_matrix(spark, sf_dir):
-    """H1: pairwise-complete Pearson matrix (one aggregate of corr)."""
-    return stats.correlation_matrix(apps(spark, sf_dir), _CORR_COLS, method="agg")
+    """H1: pairwise-complete Pearson matrix (masked per-partition Gram sums,
+    one pass)."""
+    return stats.correlation_matrix(apps(spark, sf_dir), _CORR_COLS)
 
 
-@register("h1_correlation_matrix_gram", oracle(_CORR_SQL))
-def h1_correlation_matrix_gram(spark, sf_dir):
-    """H1 via masked per-partition Gram sums (the wide-matrix path)."""
-    return stats.correlation_matrix(apps(spark, sf_dir), _CORR_COLS, method="gram")
+@register("h1_correlation_matrix_agg", oracle(_CORR_SQL))
+def h1_correlation_matrix_agg(spark, sf_dir):
+    """H1 via one JVM aggregate of a null-safe correlation per pair."""
+    return stats.correlation_matrix(apps(spark, sf_dir), _CORR_COLS, method="agg")
 
 
 _TC_COLS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3",
