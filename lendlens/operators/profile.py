@@ -220,11 +220,13 @@ def missing_combinations(df: DataFrame, cols) -> DataFrame:
 
 
 def missing_bands(df: DataFrame, cols=None) -> DataFrame:
-    """Band each column by missing share: <5%, 5–30%, >=30%."""
+    """Band each column by missing share: <5%, 5–30%, >=30%, most
+    missing first."""
     return (missing_summary(df, cols)
             .withColumn("band", F.when(F.col("missing_percent") < 5, "LOW_<5%")
                         .when(F.col("missing_percent") < 30, "MEDIUM_5-30%")
-                        .otherwise("HIGH_>=30%")))
+                        .otherwise("HIGH_>=30%"))
+            .orderBy(F.desc("missing_percent"), F.asc("column")))
 
 
 # ---------------------------------------------------------------- H4, D5

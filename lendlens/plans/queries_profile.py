@@ -359,14 +359,16 @@ def b6_filter(spark, sf_dir):
     return profile.where(apps(spark, sf_dir), pred).select("ID", "HOUR_APPR_PROCESS_START", "NAME_INCOME_TYPE")
 
 
+_B7_KEEP = EXT_COLS + SOCIAL_COLS
 _B7_SQL = f"""SELECT "column" FROM ({_missing_union(APP_COLUMNS)}) m
-WHERE missing_percent < 30 OR "column" IN ('EXT_SOURCE_1')"""
+WHERE missing_percent < 30 OR "column" IN ({', '.join(f"'{c}'" for c in _B7_KEEP)})"""
 
 
 @register("b7_drop_sparse_columns", oracle(_B7_SQL))
 def b7_drop_sparse_columns(spark, sf_dir):
-    """Columns kept after dropping those >= 30% missing (EXT_SOURCE_1 kept)."""
-    kept = profile.drop_sparse_columns(apps(spark, sf_dir), 0.3, keep=["EXT_SOURCE_1"]).columns
+    """Columns kept after dropping those >= 30% missing (scores and
+    social-circle counts are exempt)."""
+    kept = profile.drop_sparse_columns(apps(spark, sf_dir), 0.3, keep=_B7_KEEP).columns
     return spark.createDataFrame([(c,) for c in kept], "column string")
 
 
