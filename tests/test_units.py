@@ -321,3 +321,21 @@ def test_kde_matches_numpy(spark):
         for _, g, d in pts:
             want = np.exp(-0.5 * ((g - x) / bw) ** 2).sum() / (len(x) * bw * math.sqrt(2 * math.pi))
             assert d == pytest.approx(want, rel=1e-9)
+
+
+def test_knn_join_hot_duplicates(spark):
+    rng = np.random.default_rng(1)
+    X = rng.integers(0, 4, size=(300, 2)).astype(float)
+    X[:100] = [1.0, 1.0]  # a third of the rows share one vector
+    rows = [(i, "s", x.tolist()) for i, x in enumerate(X)]
+    df = spark.createDataFrame(rows, "id long, space string, vec array<double>")
+    res = knn_join(df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "did"), 4, exclude_self=True,
+                   max_cell=30).collect()
+    got = {}
+    for r in res:
+        got.setdefault(r["qid"], []).append((r["rank"], r["did"]))
+    ids = np.arange(len(X))
+    for i in range(len(X)):
+        d = np.sqrt(((X - X[i]) ** 2).sum(1))
+        d[i] = np.inf
+        assert [did for _, did in sorted(got[i])] == list(ids[np.lexsort((ids, d))[:4]])
