@@ -230,14 +230,17 @@ def missing_bands(df: DataFrame, cols=None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- H4, D5
-def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
-    """H4: (value, count); the NULL group kept when ``dropna`` is False.
+def value_counts(df: DataFrame, col: str, dropna: bool = True, sort: str = "count") -> DataFrame:
+    """H4: (value, count), most frequent first (value as tie-break) or, with
+    ``sort="value"``, by value; the NULL group kept when ``dropna`` is False.
     Partial aggregation combines map-side, so a hot value costs one row per
     partition in the shuffle."""
     base = df.select(col)
     if dropna:
         base = base.where(F.col(col).isNotNull())
-    return base.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    out = base.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    order = [F.asc_nulls_last(col)] if sort == "value" else [F.desc("count"), F.asc_nulls_last(col)]
+    return out.orderBy(*order)
 
 
 def duplicate_ids(df: DataFrame, id_col: str = "ID") -> DataFrame:
