@@ -339,3 +339,21 @@ def test_knn_join_hot_duplicates(spark):
         d = np.sqrt(((X - X[i]) ** 2).sum(1))
         d[i] = np.inf
         assert [did for _, did in sorted(got[i])] == list(ids[np.lexsort((ids, d))[:4]])
+
+
+def test_save_load_gives_equal_predictions(spark):
+    from lendlens.plans import experiments as ex
+    from lendlens.plans.catalog import apps
+    from lendlens.session import scratch_path
+    df = apps(spark, "/root/testdata/sf0.001")
+    train, test = ex.split_once(df)
+    res = ex.train_and_evaluate(train, test, "logistic_regression")
+    path = ex.save_model(scratch_path(spark, "model-test"), res["model"], "logistic_regression", "preprocessed",
+                         res["features"], res["pipeline"])
+    art = ex.load_model(path)
+    assert art["feature_names"] == res["features"] and art["model_type"] == "logistic_regression"
+    a = {r["ID"]: (r["prediction"], r["probability"]) for r in ex.score_frame(art, test).collect()}
+    b = {r["ID"]: (r["prediction"], r["probability"]) for r in res["test_scored"].collect()}
+    assert a.keys() == b.keys() and all(a[k][0] == b[k][0] and a[k][1] == pytest.approx(b[k][1]) for k in a)
+    with pytest.raises(ValueError):
+        ex.save_model(path, None, "logistic_regression", "preprocessed", [])
