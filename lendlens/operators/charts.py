@@ -111,8 +111,8 @@ def amplitude(df: DataFrame, feature: str, target: str = "TARGET", top_n: int =
     g = (df.where(F.col(feature).isNotNull())
          .groupBy(F.col(feature).cast("string").alias("category"))
          .agg(F.sum((t == 1).cast("long")).alias("c1"), F.sum((t == 0).cast("long")).alias("c0")))
-    d = F.col("c1") * 100.0 / n1
-    nd = F.col("c0") * 100.0 / n0
+    d = F.try_divide(F.col("c1") * 100.0, n1)
+    nd = F.try_divide(F.col("c0") * 100.0, n0)
     g = g.select("category", d.alias("default_pct"), nd.alias("non_default_pct"))
     g = g.withColumn("diff", F.col("default_pct") - F.col("non_default_pct")).withColumn(
         "amplitude", F.abs(F.col("diff")) / ((F.col("default_pct") + F.col("non_default_pct")) / 2 + 1e-10))

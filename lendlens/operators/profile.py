@@ -144,10 +144,12 @@ def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
 def missing_summary(df: DataFrame, cols=None) -> DataFrame:
     """Per column, NULL count and percent of rows."""
     cols = cols or df.columns
-    row = df.agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.sum(F.col(c).isNull().cast("long")).alias(f"m{i}") for i, c in enumerate(cols)])
-    parts = [F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing_count"),
-                      (F.col(f"m{i}") * 100.0 / F.col("__n")).alias("missing_percent"))
+    # count(col) skips NULLs; total minus it is the NULL count (cheaper than
+    # summing a cast null test per column).
+    row = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(c).alias(f"k{i}") for i, c in enumerate(cols)])
+    miss = [(F.col("__n") - F.col(f"k{i}")) for i in range(len(cols))]
+    parts = [F.struct(F.lit(c).alias("column"), miss[i].alias("missing_count"),
+                      F.try_divide(miss[i] * 100.0, F.col("__n")).alias("missing_percent"))
              for i, c in enumerate(cols)]
     return row.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
 
@@ -184,9 +186,10 @@ def row_missing_over(df: DataFrame, thresholds=ROW_THRESHOLDS, cols=None) -> Dat
     pct = row_null_count(cols) * 100.0 / len(cols)
     base = df.select(pct.alias("p"))
     row = base.agg(F.count(F.lit(1)).alias("__n"),
-                   *[F.sum((F.col("p") > t).cast("long")).alias(f"c{i}") for i, t in enumerate(thresholds)])
+                   *[F.coalesce(F.sum((F.col("p") > t).cast("long")), F.lit(0)).alias(f"c{i}")
+                     for i, t in enumerate(thresholds)])
     parts = [F.struct(F.lit(int(t)).alias("threshold"), F.col(f"c{i}").alias("row_count"),
-                      np_round(F.col(f"c{i}") * 100.0 / F.col("__n"), 2).alias("row_percent"))
+                      np_round(F.try_divide(F.col(f"c{i}") * 100.0, F.col("__n")), 2).alias("row_percent"))
              for i, t in enumerate(thresholds)]
     return row.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
 
@@ -196,7 +199,7 @@ def co_missing(df: DataFrame, cols) -> DataFrame:
     missing on exactly the same rows (set intersection/equality by predicate)."""
     nulls = [F.col(c).isNull() for c in cols]
     same = reduce(lambda a, b: a & b, [n == nulls[0] for n in nulls[1:]], F.lit(True))
-    return df.agg(F.sum(reduce(lambda a, b: a & b, nulls).cast("long")).alias("rows_all_missing"),
+    return df.agg(F.coalesce(F.sum(reduce(lambda a, b: a & b, nulls).cast("long")), F.lit(0)).alias("rows_all_missing"),
                   F.coalesce(F.bool_and(same), F.lit(True)).alias("same_rows"))
 
 
@@ -209,7 +212,7 @@ def missing_combinations(df: DataFrame, cols) -> DataFrame:
     """C15 (three columns a, b, c): per-column missing counts, each pair
     missing with the third present, all three, none, exactly one."""
     a, b, c = [F.col(x).isNull() for x in cols]
-    s = lambda e: F.sum(e.cast("long"))
+    s = lambda e: F.coalesce(F.sum(e.cast("long")), F.lit(0))
     one = (a.cast("int") + b.cast("int") + c.cast("int")) == 1
     return df.agg(
         s(a).alias("missing_1"), s(b).alias("missing_2"), s(c).alias("missing_3"),

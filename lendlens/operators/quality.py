@@ -38,7 +38,7 @@ def iqr_outlier_summary(df: DataFrame, cols=None) -> DataFrame:
         aggs += [F.sum(((x < lo) | (x > hi)).cast("long")).alias(f"o{i}"), F.count(x).alias(f"n{i}")]
     row = df.agg(*aggs)
     parts = [F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"o{i}"), F.lit(0)).cast("long").alias("outliers"),
-                      np_round(F.col(f"o{i}") * 100.0 / F.col(f"n{i}"), 2).alias("outlier_percent"),
+                      np_round(F.try_divide(F.col(f"o{i}") * 100.0, F.col(f"n{i}")), 2).alias("outlier_percent"),
                       F.lit(fences[c][0]).cast("double").alias("lower"),
                       F.lit(fences[c][1]).cast("double").alias("upper"))
              for i, c in enumerate(fences)]

@@ -204,6 +204,10 @@ def contingency_stats(df: DataFrame, features, target: str = "TARGET", yates: bo
     + 0.0001, natural log) and mutual information (natural log)."""
     long = _unpivot(df, features, target, as_text=True)
     classes = _classes(df, target)
+    if not classes:
+        return df.sparkSession.createDataFrame(
+            [], "feature string, unique_values long, chi2 double, dof long, n long, cramers_v double, "
+                "information_value double, mutual_information double, p_value double")
     cells = long.groupBy("feature", "value").agg(
         *[F.sum((F.col("t") == F.lit(c)).cast("long")).alias(f"n{i}") for i, c in enumerate(classes)])
     k = len(classes)

@@ -357,3 +357,15 @@ def test_save_load_gives_equal_predictions(spark):
     assert a.keys() == b.keys() and all(a[k][0] == b[k][0] and a[k][1] == pytest.approx(b[k][1]) for k in a)
     with pytest.raises(ValueError):
         ex.save_model(path, None, "logistic_regression", "preprocessed", [])
+
+
+def test_empty_frames_keep_schema(spark):
+    empty = spark.createDataFrame([], "ID long, TARGET int, x double, s string")
+    assert profile.missing_summary(empty).collect() == [("ID", 0, None), ("TARGET", 0, None), ("x", 0, None),
+                                                       ("s", 0, None)]
+    assert [r["row_count"] for r in profile.row_missing_over(empty).collect()] == [0] * 8
+    assert charts.amplitude(empty, "s").collect() == []
+    assert charts.hour_bin_risk(empty.withColumnRenamed("x", "HOUR_APPR_PROCESS_START")).collect() == []
+    assert stats.contingency_stats(empty, ["s"]).collect() == []
+    assert evaluate.confusion_matrix(empty.withColumnRenamed("TARGET", "label")
+                                     .withColumn("prediction", F.lit(0))).count() == 4
