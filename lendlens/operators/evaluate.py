@@ -90,12 +90,23 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "probability") ->
                       .alias("roc_auc"))
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
-    """(fpr, tpr, threshold) at every distinct score, highest first,
-    starting from (0, 0) at threshold +inf."""
-    g = running_sums(_score_counts(df, label, score), "score", ["pos", "neg"], descending=True)
+def roc_curve(df: DataFrame, label: str = "label", score: str = "probability",
+              drop_intermediate: bool = True) -> DataFrame:
+    """(fpr, tpr, threshold) at distinct scores, highest first, starting
+    from (0, 0) at threshold +inf. With ``drop_intermediate`` a point is kept
+    only where the curve changes direction (its next step differs from its
+    own), plus the first and last — the usual default. The next step comes
+    from a self-join on the running index, not an unpartitioned window."""
+    counts = _score_counts(df, label, score).withColumn("_one", F.lit(1))
+    g = running_sums(counts, "score", ["pos", "neg", "_one"], descending=True)
     P = df.where(F.col(label) == 1).select(F.count(F.lit(1))).scalar()
     N = df.where(F.col(label) != 1).select(F.count(F.lit(1))).scalar()
+    if drop_intermediate:
+        nxt = g.select((F.col("cum__one") - 1).alias("cum__one"), F.col("pos").alias("_npos"),
+                       F.col("neg").alias("_nneg"))
+        g = g.join(nxt, "cum__one", "left").where(
+            (F.col("cum__one") == 1) | F.col("_npos").isNull()
+            | (F.col("_npos") != F.col("pos")) | (F.col("_nneg") != F.col("neg")))
     pts = g.select((F.col("cum_neg") / N).alias("fpr"), (F.col("cum_pos") / P).alias("tpr"),
                    F.col("score").alias("threshold"))
     start = df.sparkSession.createDataFrame([(0.0, 0.0, float("inf"))], "fpr double, tpr double, threshold double")
@@ -103,12 +114,14 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "probability") -
 
 
 def pr_curve(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
-    """(precision, recall, threshold) at every distinct score, with the
-    closing point (precision 1, recall 0)."""
+    """(precision, recall, threshold) at distinct scores from the highest
+    down to the first one reaching full recall, with the closing point
+    (precision 1, recall 0)."""
     g = running_sums(_score_counts(df, label, score), "score", ["pos", "neg"], descending=True)
     P = df.where(F.col(label) == 1).select(F.count(F.lit(1))).scalar()
-    pts = g.select((F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
-                   (F.col("cum_pos") / P).alias("recall"), F.col("score").alias("threshold"))
+    pts = (g.where(F.col("cum_pos") - F.col("pos") < P)
+           .select((F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
+                   (F.col("cum_pos") / P).alias("recall"), F.col("score").alias("threshold")))
     end = df.sparkSession.createDataFrame([(1.0, 0.0, None)], "precision double, recall double, threshold double")
     return pts.unionByName(end)
 

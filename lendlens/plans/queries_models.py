@@ -122,25 +122,29 @@ def k11_roc_auc(spark, sf_dir):
 _CURVE = """
 , g AS (SELECT risk_score AS score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
                sum(CASE WHEN label <> 1 THEN 1 ELSE 0 END) AS neg FROM s GROUP BY risk_score)
-, cs AS (SELECT score, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
-                sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp FROM g)
+, cs AS (SELECT score, pos, neg, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+                sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
+                row_number() OVER (ORDER BY score DESC) AS idx,
+                lead(pos) OVER (ORDER BY score DESC) AS npos, lead(neg) OVER (ORDER BY score DESC) AS nneg FROM g)
 , tot AS (SELECT CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS P,
                  CAST(sum(CASE WHEN label <> 1 THEN 1 ELSE 0 END) AS DOUBLE) AS N FROM s)"""
 
 
 @register("k12_roc_curve", oracle(_SCORED_SQL + _CURVE + f"""
 SELECT 0.0 AS fpr, 0.0 AS tpr, CAST('inf' AS DOUBLE) AS threshold
-UNION ALL SELECT {r('fp / N')}, {r('tp / P')}, {r('score')} FROM cs, tot"""))
+UNION ALL SELECT {r('fp / N')}, {r('tp / P')}, {r('score')} FROM cs, tot
+WHERE idx = 1 OR npos IS NULL OR npos <> pos OR nneg <> neg"""))
 def k12_roc_curve(spark, sf_dir):
-    """ROC points at every distinct score."""
+    """ROC points (intermediate collinear points dropped)."""
     return ev.roc_curve(_scored(spark, sf_dir), "label", "risk_score")
 
 
 @register("k13_pr_curve", oracle(_SCORED_SQL + _CURVE + f"""
 SELECT {r('tp / (tp + fp)')} AS precision, {r('tp / P')} AS recall, {r('score')} AS threshold FROM cs, tot
+WHERE tp - pos < P
 UNION ALL SELECT 1.0, 0.0, NULL"""))
 def k13_pr_curve(spark, sf_dir):
-    """precision–recall points at every distinct score."""
+    """precision–recall points down to full recall."""
     return ev.pr_curve(_scored(spark, sf_dir), "label", "risk_score")
 
 

@@ -369,3 +369,12 @@ def test_empty_frames_keep_schema(spark):
     assert stats.contingency_stats(empty, ["s"]).collect() == []
     assert evaluate.confusion_matrix(empty.withColumnRenamed("TARGET", "label")
                                      .withColumn("prediction", F.lit(0))).count() == 4
+
+
+def test_roc_drops_collinear_points_and_pr_stops_at_full_recall(spark):
+    df = spark.createDataFrame([(1, 0.9), (1, 0.8), (1, 0.7), (0, 0.6)], "label int, probability double")
+    roc = [(r["fpr"], r["tpr"], r["threshold"]) for r in evaluate.roc_curve(df).collect()]
+    assert sorted(roc, key=lambda t: -t[2]) == [(0.0, 0.0, math.inf), (0.0, 1 / 3, 0.9), (0.0, 1.0, 0.7),
+                                               (1.0, 1.0, 0.6)]
+    pr = {(r["precision"], r["recall"], r["threshold"]) for r in evaluate.pr_curve(df).collect()}
+    assert pr == {(1.0, 1 / 3, 0.9), (1.0, 2 / 3, 0.8), (1.0, 1.0, 0.7), (1.0, 0.0, None)}
