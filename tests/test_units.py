@@ -378,3 +378,13 @@ def test_roc_drops_collinear_points_and_pr_stops_at_full_recall(spark):
                                                (1.0, 1.0, 0.6)]
     pr = {(r["precision"], r["recall"], r["threshold"]) for r in evaluate.pr_curve(df).collect()}
     assert pr == {(1.0, 1 / 3, 0.9), (1.0, 2 / 3, 0.8), (1.0, 1.0, 0.7), (1.0, 0.0, None)}
+
+
+def test_smote_ids_unique_and_reproducible(spark):
+    rows = [(i, 0 if i > 12 else 1, float(i % 7), float(i % 5)) for i in range(1, 61)]
+    df = spark.createDataFrame(rows, "ID long, TARGET int, a double, b double")
+    out = smote(df, ["a", "b"], "TARGET", "ID", k=3, seed=7, max_cell=8)
+    assert out.select("ID").distinct().count() == out.count() == 96
+    again = smote(df.repartition(5), ["a", "b"], "TARGET", "ID", k=3, seed=7, max_cell=8)
+    key = lambda d: sorted((r["ID"], round(r["a"], 12), round(r["b"], 12)) for r in d.where("ID < 0").collect())
+    assert key(out) == key(again)
