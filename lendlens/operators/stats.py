@@ -89,7 +89,7 @@ def _gram_correlation(df: DataFrame, cols) -> DataFrame:
     names = F.array(*[F.lit(c) for c in cols])
     return sums.select(F.element_at(names, F.col("a") + 1).alias("col_a"),
                        F.element_at(names, F.col("b") + 1).alias("col_b"),
-                       F.when(F.col("n") >= 2, num / den).alias("correlation"))
+                       F.when(F.col("n") >= 2, F.try_divide(num, den)).alias("correlation"))
 
 
 def target_correlation(df: DataFrame, cols, target: str = "TARGET") -> DataFrame:
@@ -111,10 +111,11 @@ def correlation_bands(df: DataFrame, cols, target: str = "TARGET") -> DataFrame:
 def top_correlated(df: DataFrame, col: str, candidates, n: int = 5) -> DataFrame:
     """The n candidates with the largest |Pearson r| against ``col``
     (itself excluded, undefined correlations dropped)."""
-    cands = [c for c in candidates if c != col]
-    row = df.agg(*[safe_corr(col, c).alias(f"c{i}") for i, c in enumerate(cands)])
-    parts = [F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("correlation")) for i, c in enumerate(cands)]
-    out = row.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
+    cands = [c for c in dict.fromkeys(candidates) if c != col]
+    # One pass of masked Gram sums (pairwise-complete, like corr) for col
+    # against every candidate; only the col row of the matrix is kept.
+    m = correlation_matrix(df, [col] + cands).where((F.col("col_a") == col) & (F.col("col_b") != col))
+    out = m.select(F.col("col_b").alias("feature"), "correlation")
     out = out.where(F.col("correlation").isNotNull() & ~F.isnan("correlation"))
     return out.orderBy(F.abs("correlation").desc(), F.asc("feature")).limit(n)
 
