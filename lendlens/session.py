@@ -6,7 +6,9 @@ is a convenience for tests, the benchmark and command-line runs.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,11 +46,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator sets this to shared storage and we only read it.
-    When it is unset (local tests) we set a fresh scratch folder.
+    When it is unset (local tests) we set a fresh scratch folder, removed when
+    the process ends; without a local master that would be a folder the
+    executors don't see, so it is an error there.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local") \
+                or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="lendlens-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
