@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlens.llm.common import read
+from lendlens.llm.near_dedup import near_components
 from lendlens.llm.substring_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +26,9 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed",
                                        F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked at Jaccard similarity 0.85 of lower-cased 3-word shingles."""
+    return near_components(read(spark, sf_dir, "documents").select("doc_id", "text"))

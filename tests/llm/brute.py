@@ -31,3 +31,32 @@ def substring_dedup(rows, width=13):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def shingles(text, width=3):
+    w = words("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(w[k:k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
+
+
+def near_components(rows, percent=85):
+    """rows: (id, text) with distinct ids. {id: (n_shingles, component)}; exact, by a full inverted index."""
+    sets = {i: shingles(t) for i, t in rows}
+    index, parent = {}, {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i in sorted(sets):
+        seen = {}
+        for s in sets[i]:
+            for j in index.setdefault(s, []):
+                seen[j] = seen.get(j, 0) + 1
+            index[s].append(i)
+        for j, both in seen.items():
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    return {i: (len(sets[i]), find(i)) for i in sets}
