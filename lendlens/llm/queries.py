@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlens.llm.common import read
+from lendlens.llm.mixing import mix_sources
 from lendlens.llm.near_dedup import near_components
+from lendlens.llm.quality_rules import judge
 from lendlens.llm.substring_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +34,69 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked at Jaccard similarity 0.85 of lower-cased 3-word shingles."""
     return near_components(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op1_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of each document: 150% of all words, sources weighing 3, 1, 2 in turn."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and verdicts of each document; a source with a high shrunk failure rate fails as a whole."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                              "base_failed", "kept")
+
+
+ORACLES["op10_quality_rules"] = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d),
+g AS (SELECT doc_id, p, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, w, w2, w3) AS c FROM g WHERE w3 IS NOT NULL) x WHERE c > 1),
+cov AS (SELECT doc_id, count(DISTINCT p + k) AS n FROM r CROSS JOIN (SELECT unnest([0, 1, 2]) AS k) ks GROUP BY doc_id),
+ln AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d) x
+       WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+c AS (SELECT d.doc_id, d.source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(coalesce(ln.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
+      FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN ln USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c),
+h AS (SELECT source, CAST(count(*) AS DOUBLE) AS docs, CAST(count(*) FILTER (WHERE base_failed) AS DOUBLE) AS failed FROM f GROUP BY source),
+t AS (SELECT sum(failed) / sum(docs) AS m, greatest(sum(failed * failed / docs) / sum(docs) - (sum(failed) / sum(docs)) ** 2, 0) AS v FROM h),
+k AS (SELECT m, greatest(1.0, least(1e6, CASE WHEN v > 1e-12 THEN m * (1 - m) / v - 1 ELSE 1e6 END)) AS k FROM t),
+s AS (SELECT source, (failed + m * k) / (docs + k) <= 0.5 AS ok FROM h CROSS JOIN k)
+SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND s.ok AS kept
+FROM f JOIN s ON f.source IS NOT DISTINCT FROM s.source"""
+
+ORACLES["op4_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d),
+g AS (SELECT doc_id, p, string_agg(w, ' ') OVER o AS s, count(*) OVER o AS c FROM w
+      WINDOW o AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+m AS (SELECT s, min(doc_id) AS lo FROM g WHERE c = 13 GROUP BY s),
+gone AS (SELECT DISTINCT g.doc_id, g.p + k AS p FROM g JOIN m USING (s) CROSS JOIN (SELECT unnest(range(13)) AS k) ks
+         WHERE c = 13 AND lo < g.doc_id),
+kept AS (SELECT w.doc_id, count(gone.p) AS n_removed, coalesce(string_agg(w.w, ' ' ORDER BY w.p) FILTER (WHERE gone.p IS NULL), '') AS t
+         FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id AND w.p = gone.p GROUP BY w.doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+ORACLES["op9_minhash_near_dedup"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d),
+g AS (SELECT doc_id, p, n, string_agg(w, ' ') OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS s FROM w),
+sh AS (SELECT DISTINCT doc_id, s FROM g WHERE p <= greatest(n - 2, 1)),
+sz AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pr AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+ok AS (SELECT a, b FROM pr JOIN sz x ON x.doc_id = a JOIN sz y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+e AS (SELECT a, b FROM ok UNION ALL SELECT b, a FROM ok),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a),
+lo AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(sz.n, 0) AS BIGINT) AS n_shingles, lo.component_id, d.doc_id = lo.component_id AS kept
+FROM d JOIN lo USING (doc_id) LEFT JOIN sz USING (doc_id)"""

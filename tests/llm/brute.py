@@ -60,3 +60,31 @@ def near_components(rows, percent=85):
                 a, b = sorted((find(i), find(j)))
                 parent[b] = a
     return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def source_targets(sizes, weights=(3, 1, 2), share=1.5, cap=2.0):
+    """{source: size} to {source: target} by resharing the excess until none is above its cap."""
+    order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
+    w = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    left, free, out = share * sum(sizes.values()), set(order), {}
+    while free:
+        total = sum(w[s] for s in free)
+        full = {s for s in free if left * w[s] / total >= cap * sizes[s]}
+        if not full:
+            return out | {s: left * w[s] / total for s in free}
+        for s in full:
+            out[s] = cap * sizes[s]
+        left -= sum(out[s] for s in full)
+        free -= full
+    return out
+
+
+def rule_counts(text):
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)."""
+    from collections import Counter
+    text = text or ""
+    w = words(text)
+    seen = Counter(tuple(w[k:k + 3]) for k in range(len(w) - 2))
+    covered = {k + j for k in range(len(w) - 2) if seen[tuple(w[k:k + 3])] > 1 for j in range(3)}
+    lines = [x for x in text.split("\n") if WORDS.search(x)]
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered)
