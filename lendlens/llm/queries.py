@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendlens.llm.chat_format import format_chats, read_back
 from lendlens.llm.common import read
 from lendlens.llm.mixing import mix_sources
 from lendlens.llm.near_dedup import near_components
 from lendlens.llm.quality_rules import judge
 from lendlens.llm.substring_dedup import remove_repeats
+from lendlens.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +103,33 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b F
 lo AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, CAST(coalesce(sz.n, 0) AS BIGINT) AS n_shingles, lo.component_id, d.doc_id = lo.component_id AS kept
 FROM d JOIN lo USING (doc_id) LEFT JOIN sz USING (doc_id)"""
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and byte-level BPE tokens of each document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations (and of number -7, full of control strings), read back from the formatted text."""
+    talks = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    return read_back(format_chats(talks.unionByName(extra)))
+
+
+ORACLES["op7_chat_formatting"] = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, '<|im_start|>' || role || chr(10) AS head, regexp_replace(text,
+             '(\\*(?:<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>))', '\\\1', 'g') AS body,
+             chr(10) || '<|im_end|>' || chr(10) AS tail FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(head) + length(body) + length(tail)) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
