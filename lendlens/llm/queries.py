@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlens.llm.chat_format import format_chats, read_back
-from lendlens.llm.common import read
+from lendlens.llm.common import read, train_row
+from lendlens.llm.language_id import identify, train_dictionaries
 from lendlens.llm.mixing import mix_sources
 from lendlens.llm.near_dedup import near_components
 from lendlens.llm.quality_rules import judge
@@ -133,3 +134,12 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(length(head) + length(body) + length(tail)) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id"""
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document by the smallest compressed size."""
+    docs = read(spark, sf_dir, "documents")
+    dictionaries = train_dictionaries(docs.select("doc_id", "text", "lang"))
+    return identify(docs.select("doc_id", "text"), dictionaries).select(
+        "doc_id", (~train_row()).alias("held_out"), "lang_pred", "score", "rejected")
