@@ -16,6 +16,7 @@ from lendlens.llm.near_dedup import near_components
 from lendlens.llm.quality_rules import judge
 from lendlens.llm.substring_dedup import remove_repeats
 from lendlens.llm.token_counts import count_tokens
+from lendlens.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -143,3 +144,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     dictionaries = train_dictionaries(docs.select("doc_id", "text", "lang"))
     return identify(docs.select("doc_id", "text"), dictionaries).select(
         "doc_id", (~train_row()).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of each page's url: the longest fitting rule's, else that of trees trained on the urls that a rule fits."""
+    return judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"))

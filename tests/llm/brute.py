@@ -88,3 +88,19 @@ def rule_counts(text):
     covered = {k + j for k in range(len(w) - 2) if seen[tuple(w[k:k + 3])] > 1 for j in range(3)}
     lines = [x for x in text.split("\n") if WORDS.search(x)]
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered)
+
+
+def url_rule(url, rules):
+    """(host, path, rule, verdict)."""
+    head, sep, rest = (url or "").partition("://")
+    if not sep:
+        return "", "", None, None
+    host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+    path = re.split(r"[?#]", rest[len(host):], maxsplit=1)[0]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    best = None
+    for rule, verdict in rules:
+        h, _, p = rule.partition("/")
+        if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and (best is None or len(rule) > len(best[0])):
+            best = (rule, verdict)
+    return host, path, *(best or (None, None))
