@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendlens.llm import toxicity
 from lendlens.llm.chat_format import format_chats, read_back
 from lendlens.llm.common import read, train_row
 from lendlens.llm.language_id import identify, train_dictionaries
@@ -150,3 +151,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of each page's url: the longest fitting rule's, else that of trees trained on the urls that a rule fits."""
     return judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document from its nearest labelled examples."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id", (~train_row()).alias("held_out"), "score", "predicted")
