@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,16 +42,6 @@ def sized_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def pack(values: np.ndarray, dtype) -> bytes:
-    return np.ascontiguousarray(values, dtype=dtype).tobytes()
-
-
-def ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(owner, position within owner) of each element of lists with these lengths."""
-    owner = np.repeat(np.arange(len(counts)), counts)
-    return owner, np.arange(len(owner)) - (np.cumsum(counts) - counts)[owner]
-
-
 def train_row(id_col: str = "doc_id"):
     """True for the rows labels may be learned from: crc32 of the id as text, modulo 5, is not 0.
 
@@ -61,6 +49,3 @@ def train_row(id_col: str = "doc_id"):
     """
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 5 != 0
 
-
-def strings(values: list) -> pa.Array:
-    return pa.array(values, type=pa.string())

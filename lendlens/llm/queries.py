@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lendlens.llm import toxicity
 from lendlens.llm.chat_format import format_chats, read_back
 from lendlens.llm.common import read, train_row
+from lendlens.llm.decontamination import find_leaks
 from lendlens.llm.language_id import identify, train_dictionaries
 from lendlens.llm.mixing import mix_sources
 from lendlens.llm.near_dedup import near_components
@@ -160,3 +161,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, read(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return toxicity.score(docs, model, keep=["doc_id"]).select(
         "doc_id", (~train_row()).alias("held_out"), "score", "predicted")
+
+
+@query
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The (document, benchmark item) pairs in which the document holds the item, verbatim or re-parameterised."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_leaks(docs, read(spark, sf_dir, "benchmark"))

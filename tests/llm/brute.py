@@ -104,3 +104,58 @@ def url_rule(url, rules):
         if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and (best is None or len(rule) > len(best[0])):
             best = (rule, verdict)
     return host, path, *(best or (None, None))
+
+
+def template(text, units):
+    """[(template, value)] of a text's tokens, where names, numbers and units are placeholders."""
+    out = []
+    pattern = re.compile(r"(?:[A-Za-z0-9\u0080-\U0010ffff]|(?<=[0-9])[.,](?=[0-9]))+")
+    last = 0
+    for m in pattern.finditer(text or ""):
+        word = m[0]
+        low = "".join(c.lower() if "A" <= c <= "Z" or "À" <= c <= "Þ" and c != "×" else c for c in word)
+        capitals = sum("A" <= c <= "Z" or "À" <= c <= "Þ" and c != "×" for c in word)
+        opens = not out or re.search(r"[.!?:;\n]", text[last:m.start()])
+        if re.search(r"[0-9]", word):
+            t = "#NUMBER"
+        elif out and out[-1][0] == "#NUMBER" and low in units:
+            t = "#UNIT"
+        elif not opens and low[0] != word[0] and capitals == 1 and len(word.encode()) > 1:
+            t = "#NAME"
+        else:
+            t = low
+        out.append((t, low))
+        last = m.end()
+    return out
+
+
+def leaks(docs, items, units, width=8, min_literals=4, min_tokens=5, min_share=0.4):
+    """docs, items: (id, text) with distinct ids. {(doc, item): (matched, windows, reparameterised)}."""
+    from collections import defaultdict
+    out = {}
+    tokens = [(i, template(t, units)) for i, t in docs]
+    for item, text in items:
+        it = template(text, units)
+        if len(it) < min_tokens:
+            continue
+        w = min(width, len(it))
+        total = len(it) - w + 1
+        windows = defaultdict(list)
+        for k in range(total):
+            key = tuple(t for t, _ in it[k:k + w])
+            if sum(not t.startswith("#") for t in key) >= min(min_literals, w):
+                windows[key].append(k)
+        for doc, dt in tokens:
+            shifts = defaultdict(list)
+            for k in range(len(dt) - w + 1):
+                for p in windows.get(tuple(t for t, _ in dt[k:k + w]), ()):
+                    shifts[k - p].append(p)
+            places, changed = set(), []
+            for shift, ps in shifts.items():
+                pairs = {(it[p + j][1], dt[p + shift + j][1]) for p in ps for j in range(w) if it[p + j][0].startswith("#")}
+                if len({a for a, _ in pairs}) == len(pairs):
+                    places |= set(ps)
+                    changed.append(any(a != b for a, b in pairs))
+            if places and len(places) / total >= min_share:
+                out[doc, item] = (len(places), total, min(changed))
+    return out
