@@ -100,8 +100,16 @@ def template_tokens(data: np.ndarray, offsets: np.ndarray):
     return template, value, kind, first
 
 
-def template_windows(texts: pa.Array, widths):
-    """Yields (first row, owner, position, width, key, token, values, kinds) of the windows with enough plain words."""
+_LEAD = K.U64(0xD6E8FEB86659FD93)
+
+
+def template_windows(texts: pa.Array, widths, open_too: bool):
+    """Yields (first row, owner, position, width, key, slots) of the windows with enough plain words.
+
+    slots lists the values of each window's placeholders.  With `open_too`, a
+    window that begins with a name is also given with that word as a plain
+    one: a passage's first word has a capital wherever the passage stands.
+    """
     for lo, hi in K.blocks(K.sizes_of(texts)):
         data, offsets = K.as_bytes(texts.slice(lo, hi - lo))
         template, value, kind, first = template_tokens(data, offsets)
@@ -110,18 +118,29 @@ def template_windows(texts: pa.Array, widths):
             at, owner = K.windows_of(first, width)
             if not len(at):
                 continue
-            key = K.window_hashes(template, width)[at]
-            good = literal[at + width] - literal[at] >= min(MIN_LITERALS, width)
-            yield lo, owner[good], (at - first[:-1][owner])[good], width, key[good], at[good], value, kind
+            rest = K.window_hashes(template, width - 1)[at + 1]
+            plain = literal[at + width] - literal[at]
+            for opened in (False, True) if open_too else (False,):
+                chosen = (plain + opened >= min(MIN_LITERALS, width)) & ((kind[at] == NAME) | (not opened))
+                own = at[chosen]
+                key = K.mix((value if opened else template)[own] * _LEAD + rest[chosen])
+                yield lo, owner[chosen], own - first[:-1][owner[chosen]], width, key, _Slots(own, width, value, kind, opened)
+
+
+class _Slots:
+    """The slot values of windows, made for those that are wanted."""
 
+    def __init__(self, at, width, value, kind, opened):
+        self.at, self.width, self.value, self.kind, self.opened = at, width, value, kind, opened
 
-def _slots(at: np.ndarray, width: int, value: np.ndarray, kind: np.ndarray) -> pa.ListArray:
-    """The slot values of each window, in order."""
-    cells = at[:, None] + np.arange(width)
-    is_slot = kind[cells] != LITERAL if len(at) else np.zeros((0, width), dtype=bool)
-    counts = is_slot.sum(axis=1)
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()),
-                                    pa.array(value[cells[is_slot]].view(np.int64) if len(at) else [], pa.int64()))
+    def array(self, wanted=slice(None)) -> pa.ListArray:
+        at = self.at[wanted]
+        cells = at[:, None] + np.arange(self.width)
+        is_slot = self.kind[cells] != LITERAL
+        if self.opened:
+            is_slot[:, 0] = False
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(is_slot.sum(axis=1))], pa.int32()),
+                                        pa.array(self.value[cells[is_slot]].view(np.int64), pa.int64()))
 
 
 def _item_rows(batches):
@@ -135,10 +154,10 @@ def _item_rows(batches):
                 own = np.flatnonzero((lengths == width) if width < WIDTH else (lengths >= WIDTH))
                 chosen = part.take(pa.array(own))
                 total = lengths[own] - width + 1
-                for low, owner, pos, _, key, at, value, kind in template_windows(chosen.column(1), [width]):
+                for low, owner, pos, _, key, slots in template_windows(chosen.column(1), [width], False):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key.view(np.int64)), chosen.column(0).take(pa.array(low + owner)), pa.array(pos, pa.int64()),
-                         _slots(at, width, value, kind), pa.array(total[low + owner], pa.int64()),
+                         slots.array(), pa.array(total[low + owner], pa.int64()),
                          pa.array(np.full(len(pos), width), pa.int32())], ["key", "item", "item_at", "item_slots", "windows", "width"])
 
 
@@ -149,12 +168,12 @@ def _document_rows(widths, bitmap):
         marks = np.unpackbits(bitmap.value, bitorder="little").view(bool)
         bits = K.U64(len(marks))
         for batch in batches:
-            for lo, owner, pos, width, key, at, value, kind in template_windows(batch.column(1), widths):
+            for lo, owner, pos, _, key, slots in template_windows(batch.column(1), widths, True):
                 hit = marks[(key % bits).astype(np.int64)]
                 if hit.any():
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array(lo + owner[hit])), pa.array(key[hit].view(np.int64)),
-                         pa.array(pos[hit], pa.int64()), _slots(at[hit], width, value, kind)], ["id", "key", "at", "slots"])
+                         pa.array(pos[hit], pa.int64()), slots.array(hit)], ["id", "key", "at", "slots"])
 
     return run
 

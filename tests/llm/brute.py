@@ -148,8 +148,9 @@ def leaks(docs, items, units, width=8, min_literals=4, min_tokens=5, min_share=0
         for doc, dt in tokens:
             shifts = defaultdict(list)
             for k in range(len(dt) - w + 1):
-                for p in windows.get(tuple(t for t, _ in dt[k:k + w]), ()):
-                    shifts[k - p].append(p)
+                for first in (dt[k][0], dt[k][1]) if dt[k][0] == "#NAME" else (dt[k][0],):
+                    for p in windows.get((first, *(t for t, _ in dt[k + 1:k + w])), ()):
+                        shifts[k - p].append(p)
             places, changed = set(), []
             for shift, ps in shifts.items():
                 pairs = {(it[p + j][1], dt[p + shift + j][1]) for p in ps for j in range(w) if it[p + j][0].startswith("#")}
