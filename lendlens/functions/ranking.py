@@ -2,49 +2,50 @@
 
 Ranks, ROC/PR curves and the tie-aware AUC all need prefix sums over the
 distinct values of a column. An unpartitioned window would pull every
-distinct value into one task, so above ``max_rows`` rows the values are cut
-into buckets at approximate quantiles (``percentile_approx`` + ``Bucketizer``,
-both JVM-side): per-bucket totals (one small row per bucket) give each
-bucket's offset, and the prefix sum inside a bucket is a window partitioned
-by bucket. Buckets depend only on values, so the result is deterministic.
+distinct value into one task, so the rows are range-partitioned on the order
+itself (any sortable type: numbers, text, structs) and written once with the
+number of their partition: per-partition totals (one small row each) give
+each partition's offset, and the prefix sum inside a partition is a window
+partitioned by its number. There is one path for every size.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MAX_ROWS_ONE_TASK = 1_000_000
+from lendlens.session import scratch_path
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = False,
-                 max_rows: int = MAX_ROWS_ONE_TASK, prefix: str = "cum_") -> DataFrame:
+                 max_rows: int | None = None, prefix: str = "cum_") -> DataFrame:
     """Add ``<prefix><c>`` = sum of ``c`` over rows ordered at or before the
-    current one. ``order_col`` must be unique per row (aggregate first)."""
-    n = df.count()
+    current one. ``order_col`` must be unique per row (aggregate first).
+    ``max_rows`` aims at so many rows per range partition; the default is the
+    session's number of shuffle partitions."""
+    spark = df.sparkSession
     order = F.desc(order_col) if descending else F.asc(order_col)
-    if n <= max_rows:
-        w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
-
-    n_buckets = int(math.ceil(n / (max_rows / 2)))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10_000)).first()[0]
-    splits = [-math.inf] + sorted(set(float(e) for e in edges)) + [math.inf]
-    keyed = df.withColumn("_ord_d", F.col(order_col).cast("double"))
-    keyed = Bucketizer(splits=splits, inputCol="_ord_d", outputCol="_bucket").transform(keyed).drop("_ord_d")
-    totals = keyed.groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in sum_cols]).collect()
-    totals.sort(key=lambda r: r["_bucket"], reverse=descending)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if max_rows is not None:
+        parts = max(1, math.ceil(df.count() / max_rows))
+    # Written, so that every later pass sees the same partition numbers.
+    placed = df.repartitionByRange(parts, order).withColumn("_bucket", F.spark_partition_id())
+    path = scratch_path(spark, "ranges")
+    placed.write.parquet(path)
+    keyed = spark.read.schema(placed.schema).parquet(path)
+
+    totals = keyed.groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in sum_cols])
+    schema = T.StructType([T.StructField("_bucket", T.IntegerType())]
+                          + [T.StructField(f"_off_{c}", totals.schema[c].dataType) for c in sum_cols])
     offsets, acc = [], {c: 0 for c in sum_cols}
-    for r in totals:
-        offsets.append((r["_bucket"], *[acc[c] for c in sum_cols]))
+    for r in sorted(totals.collect(), key=lambda r: r["_bucket"]):  # one row per partition
+        offsets.append((r["_bucket"], *[type(r[c])(acc[c]) if r[c] is not None else None for c in sum_cols]))
         for c in sum_cols:
             acc[c] += r[c] or 0
-    off_df = df.sparkSession.createDataFrame(
-        offsets, ["_bucket"] + [f"_off_{c}" for c in sum_cols])
+    off_df = spark.createDataFrame(offsets, schema)
     w = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = keyed.join(F.broadcast(off_df), "_bucket", "left")
     out = out.withColumns({f"{prefix}{c}": F.sum(c).over(w) + F.coalesce(F.col(f"_off_{c}"), F.lit(0))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendlens.functions.exprs import HOUR_BINS, hour_bin, np_round, rank_in
+from lendlens.functions.ranking import running_sums
 from lendlens.functions.quantiles import exact_quantiles
 
 
@@ -192,33 +193,33 @@ def ordered_rate(df: DataFrame, feature: str, target: str = "TARGET", n_bins: in
 # ---------------------------------------------------------------- J9
 def box_stats(df: DataFrame, col: str, target: str | None = None) -> DataFrame:
     """Quartiles, whiskers (furthest points within 1.5 IQR), outlier
-    count; per target class when ``target`` is given. Quartiles are exact;
-    whiskers and outliers take a second conditional aggregation."""
-    x = F.col(col).cast("double")
-    if target is None:
-        groups = {"all": None}
-    else:
-        classes = [r[0] for r in df.select(target).where(F.col(target).isNotNull()).distinct()
-                   .limit(1000).collect()]
-        groups = {str(c): c for c in sorted(classes)}
-    virt = {g: (x if v is None else F.when(F.col(target) == F.lit(v), x)) for g, v in groups.items()}
-    q = exact_quantiles(df, virt, [0.25, 0.5, 0.75])
-    aggs, meta = [], []
-    for i, (g, e) in enumerate(virt.items()):
-        q1, med, q3 = q[g][0.25], q[g][0.5], q[g][0.75]
-        if q1 is None:
-            continue
-        lo_f, hi_f = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
-        inside = (e >= lo_f) & (e <= hi_f)
-        aggs += [F.min(F.when(inside, e)).alias(f"wl{i}"), F.max(F.when(inside, e)).alias(f"wh{i}"),
-                 F.sum(((e < lo_f) | (e > hi_f)).cast("long")).alias(f"o{i}"), F.count(e).alias(f"n{i}")]
-        meta.append((i, g, q1, med, q3))
-    row = df.agg(*aggs).first() if aggs else None
-    data = [(g, int(row[f"n{i}"]), q1, med, q3, row[f"wl{i}"], row[f"wh{i}"], int(row[f"o{i}"] or 0))
-            for i, g, q1, med, q3 in meta]
-    return df.sparkSession.createDataFrame(
-        data, "group string, count long, q1 double, median double, q3 double, whisker_low double, "
-              "whisker_high double, outliers long")
+    count; per target class when ``target`` is given, for any number of
+    classes. The rows become counts per (class, value); their running sums in
+    that order give each value's ranks within its class, from which the exact
+    quartiles are read, and the whiskers and outliers come from the counts."""
+    group = F.lit("all") if target is None else F.col(target)
+    cells = (df.select(group.alias("g"), F.col(col).cast("double").alias("x"))
+             .where(F.col("g").isNotNull() & F.col("x").isNotNull())
+             .groupBy("g", "x").agg(F.count(F.lit(1)).alias("n")))
+    cum = running_sums(cells.withColumn("_key", F.struct("g", "x")), "_key", ["n"]).select("g", "x", "n", "cum_n")
+    totals = cum.groupBy("g").agg(F.sum("n").alias("count"), F.min(F.col("cum_n") - F.col("n")).alias("start"))
+    placed = cum.join(totals, "g").withColumn("above", F.col("cum_n") - F.col("start"))
+
+    def value_at(rank):
+        return F.max(F.when((F.col("above") - F.col("n") <= rank) & (rank < F.col("above")), F.col("x")))
+
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    places = {name: (F.col("count") - 1) * p for name, p in probs.items()}
+    ends = placed.groupBy("g", "count").agg(*[e for name, h in places.items() for e in (
+        value_at(F.floor(h)).alias(f"{name}_0"), value_at(F.least(F.floor(h) + 1, F.col("count") - 1)).alias(f"{name}_1"))])
+    quart = ends.select("g", "count", *[
+        (F.col(f"{name}_0") + (h - F.floor(h)) * (F.col(f"{name}_1") - F.col(f"{name}_0"))).alias(name)
+        for name, h in places.items()])
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    inside = (F.col("x") >= F.col("q1") - reach) & (F.col("x") <= F.col("q3") + reach)
+    return (cum.join(quart, "g").groupBy(F.col("g").cast("string").alias("group"), "count", "q1", "median", "q3")
+            .agg(F.min(F.when(inside, F.col("x"))).alias("whisker_low"), F.max(F.when(inside, F.col("x"))).alias("whisker_high"),
+                 F.sum(F.when(~inside, F.col("n")).otherwise(0)).cast("long").alias("outliers")))
 
 
 # ---------------------------------------------------------------- J10–J12
@@ -251,42 +252,52 @@ def distribution_by_target(df: DataFrame, col: str, target: str = "TARGET", grid
                            cut: float = 2.0) -> DataFrame:
     """Per class, the mean and a Gaussian kernel density on a grid
     (Scott bandwidth = sample std · n^(-1/5); grid from min - cut·bw to
-    max + cut·bw). Exact: pass 1 is one grouped aggregate of moments, pass 2
-    adds every row's kernel at the grid points inside each partition (NumPy
-    in ``mapInPandas``) and sums the partial grids with a small ``groupBy``."""
+    max + cut·bw). Exact: pass 1 is one grouped aggregate of moments, joined
+    to the rows by class (any number of classes), pass 2 adds every row's
+    kernel at the grid points inside each partition (NumPy in
+    ``mapInPandas``, sums of at most ``held`` classes at a time) and sums the
+    partial grids with a ``groupBy``."""
     import math
 
     import numpy as np
     import pandas as pd
 
+    held = 1_000
     base = df.select(F.col(target).cast("string").alias("cls"), F.col(col).cast("double").alias("x")) \
         .where(F.col("x").isNotNull() & F.col("cls").isNotNull())
     mom = base.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"),
-                                  F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"),
-                                  F.max("x").alias("hi")).limit(64).collect()
-    grids = {}
-    for r in mom:
-        n, sd = r["n"], r["sd"] or 0.0
-        bw = sd * n ** (-0.2) if sd > 0 else 1.0
-        grids[r["cls"]] = (np.linspace(r["lo"] - cut * bw, r["hi"] + cut * bw, gridsize), bw, n, r["mean"])
+                                  F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    mom = mom.withColumn("bw", F.when(F.col("sd") > 0, F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))).otherwise(F.lit(1.0)))
+    mom = mom.select("cls", "n", "mean", "bw", (F.col("lo") - cut * F.col("bw")).alias("first"),
+                     (F.col("hi") + cut * F.col("bw")).alias("last"))
+
+    def rows_of(acc):
+        return pd.DataFrame({"cls": np.repeat(list(acc), gridsize), "grid_index": np.tile(np.arange(gridsize), len(acc)),
+                             "kernel_sum": np.concatenate(list(acc.values()))})
 
     def partial(it):
         acc = {}
         for pdf in it:
             for cls, idx in pdf.groupby("cls").indices.items():
-                g, bw, _n, _m = grids[cls]
-                x = pdf["x"].to_numpy()[idx]
+                own = pdf.iloc[idx]
+                bw = own["bw"].iloc[0]
+                g = np.linspace(own["first"].iloc[0], own["last"].iloc[0], gridsize)
+                x = own["x"].to_numpy()
                 for s in range(0, len(x), 20_000):
                     z = (g[None, :] - x[s:s + 20_000, None]) / bw
                     acc[cls] = acc.get(cls, 0.0) + np.exp(-0.5 * z * z).sum(axis=0)
-        for cls, v in acc.items():
-            yield pd.DataFrame({"cls": cls, "grid_index": np.arange(gridsize), "kernel_sum": v})
-
-    sums = (base.mapInPandas(partial, "cls string, grid_index long, kernel_sum double")
+                if len(acc) >= held:
+                    yield rows_of(acc)
+                    acc = {}
+        if acc:
+            yield rows_of(acc)
+
+    sums = (base.join(mom.select("cls", "bw", "first", "last"), "cls")
+            .mapInPandas(partial, "cls string, grid_index long, kernel_sum double")
             .groupBy("cls", "grid_index").agg(F.sum("kernel_sum").alias("kernel_sum")))
-    meta = df.sparkSession.createDataFrame(
-        [(c, int(i), float(g[i]), float(bw), int(n), float(m)) for c, (g, bw, n, m) in grids.items()
-         for i in range(gridsize)], "cls string, grid_index long, x double, bw double, n long, mean double")
+    meta = mom.withColumn("grid_index", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(gridsize - 1).cast("long"))))
+    step = (F.col("last") - F.col("first")) / max(gridsize - 1, 1)
+    meta = meta.withColumn("x", F.col("first") + F.col("grid_index") * step)
     norm = F.col("n") * F.col("bw") * math.sqrt(2 * math.pi)
     return (meta.join(sums, ["cls", "grid_index"], "left")
             .select(F.col("cls").alias(target), "mean", "grid_index", "x",

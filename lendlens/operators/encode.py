@@ -53,10 +53,9 @@ def onehot_exprs(col: str, categories: list, drop_first: bool = True) -> dict[st
 
 
 def ordinal_expr(col: str, order: list) -> Column:
-    """position in ``order``; unknown → -1; NULL stays NULL (double)."""
-    x = F.col(col)
-    pos = _lookup(order, list(range(len(order))), x.cast("string"))
-    return F.when(x.isNull(), F.lit(None)).otherwise(F.coalesce(pos, F.lit(-1))).cast("double")
+    """position in ``order``; unknown and NULL → -1 (double)."""
+    pos = _lookup(order, list(range(len(order))), F.col(col).cast("string"))
+    return F.coalesce(pos, F.lit(-1)).cast("double")
 
 
 def frequency_expr(col: str, keys: list, freqs: list) -> Column:

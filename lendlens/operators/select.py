@@ -67,9 +67,13 @@ def vif_from_gram(G: np.ndarray, s: np.ndarray, n: int, rtol: float = 1e-10) ->
 
     R² is uncentred unless a constant lies in the span of the other columns
     (then it is centred, as a regression package that detects an implicit
-    constant does). A perfect fit gives an infinite VIF.
+    constant does). A perfect fit gives an infinite VIF. Columns are first
+    scaled to unit length, so the cut-off of small singular values means the
+    same for rates and for amounts.
     """
     p = G.shape[0]
+    length = np.sqrt(np.where(np.diag(G) > 0, np.diag(G), 1.0))
+    G, s = G / np.outer(length, length), s / length
     out = np.empty(p)
     for i in range(p):
         rest = [j for j in range(p) if j != i]
@@ -78,12 +82,12 @@ def vif_from_gram(G: np.ndarray, s: np.ndarray, n: int, rtol: float = 1e-10) ->
             continue
         Gr = G[np.ix_(rest, rest)]
         g = G[rest, i]
-        pinv = np.linalg.pinv(Gr, rcond=1e-12)
+        pinv = np.linalg.pinv(Gr, rcond=1e-12, hermitian=True)
         ssr = G[i, i] - g @ pinv @ g
         sr = s[rest]
         const_resid = n - sr @ pinv @ sr  # 0 when a constant is in the span
         tss = G[i, i] - (s[i] ** 2) / n if abs(const_resid) <= 1e-8 * max(n, 1) else G[i, i]
-        if ssr <= rtol * max(G[i, i], 1e-300):
+        if ssr <= rtol:
             out[i] = np.inf
         else:
             out[i] = tss / ssr

@@ -383,8 +383,7 @@ _EDU_POS = "CASE NAME_EDUCATION_TYPE " + " ".join(f"WHEN '{v}' THEN {i}" for i,
 
 
 @register("f3_ordinal_encode", oracle(
-    f"SELECT ID, CAST(CASE WHEN NAME_EDUCATION_TYPE IS NULL THEN NULL ELSE coalesce({_EDU_POS}, -1) END AS DOUBLE) "
-    "AS NAME_EDUCATION_TYPE FROM applications"))
+    f"SELECT ID, CAST(coalesce({_EDU_POS}, -1) AS DOUBLE) AS NAME_EDUCATION_TYPE FROM applications"))
 def f3_ordinal_encode(spark, sf_dir):
     """education level → position in the given order."""
     df = apps(spark, sf_dir).select("ID", "NAME_EDUCATION_TYPE")
@@ -434,7 +433,7 @@ def _f5_onehot_sql() -> str:
 
 @register("f5_flexible_encoder", oracle(
     "SELECT ID, TARGET, AMT_CREDIT, " + ", ".join(f"{_label_sql(c)} AS {c}" for c in _F5_CONFIG["label_encode_cols"])
-    + ", " + _f5_onehot_sql() + f", CAST(CASE WHEN NAME_EDUCATION_TYPE IS NULL THEN NULL ELSE coalesce({_EDU_POS}, -1) END "
+    + ", " + _f5_onehot_sql() + f", CAST(coalesce({_EDU_POS}, -1) "
     "AS DOUBLE) AS NAME_EDUCATION_TYPE, " + ", ".join(f"{_freq_sql(c)} AS {c}_freq" for c in _FREQ_COLS)
     + " FROM applications a"))
 def f5_flexible_encoder(spark, sf_dir):

@@ -259,24 +259,57 @@ def h16_relationship_continuous(spark, sf_dir):
     return stats.relationship_continuous(apps(spark, sf_dir), "EXT_SOURCE_2")
 
 
+@register("h16_relationship_continuous_values", oracle(_continuous_sql("EXT_SOURCE_2") + " " + _continuous_select()))
+def h16_relationship_continuous_values(spark, sf_dir):
+    """H16 continuous bundle: its statistics without the p-values."""
+    return stats.relationship_continuous(apps(spark, sf_dir), "EXT_SOURCE_2").drop("point_biserial_p", "anova_p")
+
+
 @register("h16_relationship_nominal")
 def h16_relationship_nominal(spark, sf_dir):
     """H16 nominal bundle with p-value."""
     return stats.relationship_nominal(apps(spark, sf_dir), "NAME_INCOME_TYPE")
 
 
+_V_SQL = r("CASE WHEN k > 1 THEN sqrt(chi2 / (n * (k - 1))) END")
+
+
+@register("h16_relationship_nominal_values", oracle(_contingency_sql("NAME_INCOME_TYPE") + f"""
+SELECT feature, unique_values, {r('chi2')} AS chi2, {_V_SQL} AS cramers_v, {r('iv')} AS information_value,
+       {r('mi')} AS mutual_information FROM st_0"""))
+def h16_relationship_nominal_values(spark, sf_dir):
+    """H16 nominal bundle: its statistics without the p-value."""
+    return stats.relationship_nominal(apps(spark, sf_dir), "NAME_INCOME_TYPE").drop("p_value")
+
+
 @register("h16_relationship_discrete_few")
 def h16_relationship_discrete_few(spark, sf_dir):
     """H16 discrete (few values) bundle."""
     return stats.relationship_discrete_few(apps(spark, sf_dir), "CNT_FAM_MEMBERS")
 
 
+@register("h16_relationship_discrete_few_values", oracle(_contingency_sql("CNT_FAM_MEMBERS") + f"""
+SELECT feature, unique_values, {r('chi2')} AS chi2, {_V_SQL} AS cramers_v FROM st_0"""))
+def h16_relationship_discrete_few_values(spark, sf_dir):
+    """H16 discrete (few values) bundle: its statistics without the p-value."""
+    return stats.relationship_discrete_few(apps(spark, sf_dir), "CNT_FAM_MEMBERS").drop("p_value")
+
+
 @register("h16_relationship_discrete_many")
 def h16_relationship_discrete_many(spark, sf_dir):
     """H16 discrete (many values) bundle."""
     return stats.relationship_discrete_many(apps(spark, sf_dir), "HOUR_APPR_PROCESS_START")
 
 
+@register("h16_relationship_discrete_many_values", oracle(_contingency_sql("HOUR_APPR_PROCESS_START") + f"""
+, v AS (SELECT CAST(dense_rank() OVER (ORDER BY HOUR_APPR_PROCESS_START) - 1 AS DOUBLE) AS x, CAST(TARGET AS DOUBLE) AS y
+        FROM applications WHERE HOUR_APPR_PROCESS_START IS NOT NULL AND TARGET IS NOT NULL)
+SELECT feature, (SELECT {r('corr(x, y)')} FROM v) AS point_biserial_r, unique_values, {r('iv')} AS information_value FROM st_0"""))
+def h16_relationship_discrete_many_values(spark, sf_dir):
+    """H16 discrete (many values) bundle: its statistics without the p-value."""
+    return stats.relationship_discrete_many(apps(spark, sf_dir), "HOUR_APPR_PROCESS_START").drop("point_biserial_p")
+
+
 @register("h16_relationship_ordinal")
 def h16_relationship_ordinal(spark, sf_dir):
     """H16 ordinal bundle (Spearman and point-biserial with p)."""

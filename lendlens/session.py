@@ -11,6 +11,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -64,6 +66,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package: a zip of its modules, added once per application.
+
+    Python functions in tasks are sent by module name, so a worker needs the
+    package on its path even when the driver found it in its own folder.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="lendlens-zip-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "lendlens.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for where, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(where, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder.
 

@@ -108,7 +108,7 @@ def test_encoders_unseen_and_null(spark):
     freq = encode.FlexibleEncoder(frequency_encode_cols=["c"]).fit(train).transform(test).collect()
     assert [r["c_freq"] for r in freq] == [0.0, 0.5]
     ordn = encode.FlexibleEncoder(ordinal_encode_cols=["d"], ordinal_mappings={"d": ["y", "x"]}).fit(train)
-    assert [r["d"] for r in ordn.transform(test).collect()] == [-1.0, None]
+    assert [r["d"] for r in ordn.transform(test).collect()] == [-1.0, -1.0]
 
 
 def test_scaler_constant_column(spark):
