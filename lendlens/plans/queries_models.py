@@ -249,17 +249,20 @@ def k18_train_test_comparison(spark, sf_dir):
 
 @register("k19_run_experiments")
 def k19_run_experiments(spark, sf_dir):
-    """The experiment runner (logistic regression, prepared data, SMOTE)."""
+    """The experiment runner (logistic regression, prepared data, SMOTE),
+    the model and its pipeline saved; an error fails the query."""
     return ex.run_experiments(spark, apps(spark, sf_dir), models=("logistic_regression",),
-                              data_types=("preprocessed",), use_smote=True)
+                              data_types=("preprocessed",), use_smote=True, raise_errors=True,
+                              output_dir=scratch_path(spark, "experiments"))
 
 
 @register("k20_raw_baseline")
 def k20_raw_baseline(spark, sf_dir):
-    """Raw-data baselines (logistic regression on complete numeric rows
-    and boosted trees with missing indicators)."""
+    """Raw-data baselines (logistic regression on complete numeric rows,
+    boosted trees with missing indicators); an error in any run fails the
+    query."""
     return ex.run_experiments(spark, apps(spark, sf_dir), models=("logistic_regression", "gradient_boosting"),
-                              data_types=("raw",), use_smote=False, params=None)
+                              data_types=("raw",), use_smote=False, params=None, raise_errors=True)
 
 
 @register("k21_preprocessing_pipeline")
