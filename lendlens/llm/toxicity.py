@@ -194,8 +194,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & train_row(id_col))
              .groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).cast("long").alias("y")))
     sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    # The examples are the ids of the smallest hashes. A threshold at twice the share wanted leaves the sort few rows,
+    # however many labels there are.
+    most = {y: min((1 << 63) - 1, int(min(1.0, 2 * EXAMPLES_PER_CLASS / n) * 2 ** 64) - (1 << 63)) for y, n in sizes.items()}
+    near = F.xxhash64("id") <= F.when(F.col("y") == 1, F.lit(most.get(1, 0))).otherwise(F.lit(most.get(0, 0)))
     first = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")
-    chosen = known.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= EXAMPLES_PER_CLASS).select("id", "y")
+    chosen = known.where(near).withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= EXAMPLES_PER_CLASS).select("id", "y")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t IS NOT NULL")
     # At most EXAMPLES_PER_CLASS ids of each class.
     sample = written(texts.join(F.broadcast(chosen), "id").select("id", "y", "t"), "examples")
