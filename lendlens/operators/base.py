@@ -2,8 +2,10 @@
 
 Options and fitted state live in two string ``Param``s, so the stock
 ``DefaultParamsWriter``/``Reader`` persist any stage (alone or inside a
-``Pipeline``) without custom writers. Fitted state is always small: scalars,
-category lists under a stated cap, or p×p matrices.
+``Pipeline``) without custom writers. State in JSON is always small: scalars,
+the column names of one-hot codes, or p×p matrices. State that grows with the
+data (category codes, donors) is a Parquet table: in the shared scratch
+folder after a fit, inside the stage's own folder once it is saved.
 """
 
 from __future__ import annotations
@@ -12,7 +14,10 @@ import json
 
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
+from pyspark.sql import DataFrame, SparkSession
+
+from lendlens.session import scratch_path
 
 
 class _JsonParams(Params):
@@ -59,6 +64,44 @@ class JsonModel(Model, _JsonParams, DefaultParamsReadable, DefaultParamsWritable
         self._init_json(opts)
 
 
+class _TableWriter(DefaultParamsWriter):
+    """Saves the params and, beside them, the stage's table."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        if self.instance.fitted.get("table"):
+            self.instance.table().write.parquet(f"{path}/table")
+
+
+class _TableReader(DefaultParamsReader):
+    def load(self, path: str):
+        stage = super().load(path)
+        if stage.fitted.get("table"):
+            stage._set_state({**stage.fitted, "table": f"{path}/table"})
+        return stage
+
+
+class TableModel(JsonModel):
+    """Fitted stage with a table of any size beside its JSON state."""
+
+    def table(self) -> DataFrame:
+        return SparkSession.getActiveSession().read.parquet(self.fitted["table"])
+
+    def write(self):
+        return _TableWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _TableReader(cls)
+
+
+def stored_table(df: DataFrame, name: str) -> str:
+    """Writes a fitted table into the shared scratch folder; returns its path."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 class JsonEstimator(Estimator, _JsonParams, DefaultParamsReadable, DefaultParamsWritable):
     """Estimator whose ``_fit`` returns ``model_class`` carrying the state."""
 

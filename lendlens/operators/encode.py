@@ -1,48 +1,61 @@
 """Categorical encoders (F1–F8).
 
-Fitted state is a category list or a value→number map learned in one
-``groupBy`` (map-side combined) and held as a literal map: lookups are
-``try_element_at`` on a constant-folded map, so transforms stay narrow and
-inside codegen. The number of categories kept in state is capped
-(``MAX_CATEGORIES``); a larger fit fails loudly rather than building a huge
-literal.
+Codes, shares and target means are fitted as a table (kind, c, v, x) with one
+row per column and value, of any number of values: one pass over the rows
+counts every value of every column (map-side combined), and ``transform``
+looks values up by a left join, which the planner broadcasts while the table
+is small. Sorted codes come from range-partitioned running sums, so no task
+or driver holds a column's values. Only one-hot encoding, whose result has a
+column per value, refuses a width (``max_width``).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.operators.base import JsonEstimator, JsonModel
+from lendlens.functions.ranking import running_sums
+from lendlens.operators.base import JsonEstimator, JsonModel, TableModel, stored_table
 
-MAX_CATEGORIES = 100_000
+MAX_WIDTH = 10_000  # columns that one-hot encoding of one column may add
 NAN_TEXT = "nan"  # how a missing value reads once cast to text
 
 
-def _distinct_sorted(df: DataFrame, col: str, as_text_nan: bool = False) -> list:
-    x = F.col(col).cast("string")
-    if as_text_nan:
-        x = F.coalesce(x, F.lit(NAN_TEXT))
-    vals = df.select(x.alias("v")).where(F.col("v").isNotNull()).distinct().limit(MAX_CATEGORIES + 1)
-    out = sorted(r["v"] for r in vals.collect())
-    if len(out) > MAX_CATEGORIES:
-        raise ValueError(f"{col}: more than {MAX_CATEGORIES} categories; use frequency or target encoding")
-    return out
+def _text(x: Column) -> Column:
+    return F.coalesce(x.cast("string"), F.lit(NAN_TEXT))
 
 
-def _lookup(keys: list, values: list, x: Column) -> Column:
-    if not keys:
-        return F.lit(None)
-    return F.try_element_at(F.map_from_arrays(F.lit(keys), F.lit(values)), x)
+def value_counts(df: DataFrame, cols) -> DataFrame:
+    """(c, v, n): rows of every value, as text and NULL included, of several columns in one pass."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])
+    return df.select(F.explode(pairs).alias("s")).groupBy("s.c", "s.v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _text(x: Column) -> Column:
-    return F.coalesce(x.cast("string"), F.lit(NAN_TEXT))
+def sorted_codes(values: DataFrame) -> DataFrame:
+    """(c, v, x): the place, from 0, of each distinct non-null value among the sorted values of its column."""
+    keys = values.where("v IS NOT NULL").select(F.struct("c", "v").alias("k")).distinct().withColumn("one", F.lit(1))
+    ranked = running_sums(keys, "k", ["one"])
+    firsts = ranked.groupBy(F.col("k.c").alias("c")).agg(F.min("cum_one").alias("first"))  # a row per column
+    return (ranked.select("k.c", "k.v", "cum_one").join(F.broadcast(firsts), "c")
+            .select("c", "v", (F.col("cum_one") - F.col("first")).cast("double").alias("x")))
+
+
+def _looked_up(df: DataFrame, table: DataFrame, kind: str, col: str, key: Column, name: str) -> DataFrame:
+    """Adds ``name``: the number that the table holds for ``key``, NULL for other keys."""
+    side = table.where((F.col("kind") == kind) & (F.col("c") == col)).select(F.col("v").alias("__v"), F.col("x").alias(name))
+    return df.join(side, key == F.col("__v"), "left").drop("__v")
 
 
-def label_expr(col: str, classes: list) -> Column:
-    """code of the text value in the sorted classes; unseen → 0."""
-    return F.coalesce(_lookup(classes, list(range(len(classes))), _text(F.col(col))), F.lit(0)).cast("long")
+def _onehot_categories(values: DataFrame, max_width: int) -> dict[str, list]:
+    """The sorted values of each column, a missing one last as its own category."""
+    widths = {r["c"]: r["n"] for r in values.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for c, n in widths.items():
+        if n > max_width:
+            raise ValueError(f"{c}: one-hot encoding would add {n} columns, above max_width = {max_width}")
+    rows = [(r["c"], r["v"]) for r in values.select("c", "v").collect()]  # at most max_width for each column
+    return {c: sorted(v for d, v in rows if d == c and v is not None) + [NAN_TEXT] * ((c, None) in rows) for c in widths}
 
 
 def onehot_exprs(col: str, categories: list, drop_first: bool = True) -> dict[str, Column]:
@@ -54,105 +67,73 @@ def onehot_exprs(col: str, categories: list, drop_first: bool = True) -> dict[st
 
 def ordinal_expr(col: str, order: list) -> Column:
     """position in ``order``; unknown and NULL → -1 (double)."""
-    pos = _lookup(order, list(range(len(order))), F.col(col).cast("string"))
-    return F.coalesce(pos, F.lit(-1)).cast("double")
+    if not order:
+        return F.lit(-1.0)
+    place = F.map_from_arrays(F.lit(list(order)), F.lit(list(range(len(order)))))
+    return F.coalesce(F.try_element_at(place, F.col(col).cast("string")), F.lit(-1)).cast("double")
 
 
-def frequency_expr(col: str, keys: list, freqs: list) -> Column:
-    """training share of the value; unseen or NULL → 0."""
-    return F.coalesce(_lookup(keys, freqs, F.col(col).cast("string")), F.lit(0.0)).cast("double")
-
-
-def frequency_map(df: DataFrame, col: str) -> tuple[list, list]:
-    """Share of each value among the non-null rows: one ``groupBy`` plus the
-    total as a scalar subquery."""
-    nonnull = df.where(F.col(col).isNotNull())
-    total = nonnull.select(F.count(F.lit(1))).scalar()
-    rows = (nonnull.groupBy(F.col(col).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-            .select("v", (F.col("n") / total).alias("f")).limit(MAX_CATEGORIES + 1).collect())
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"{col}: more than {MAX_CATEGORIES} categories")
-    rows.sort(key=lambda r: r["v"])
-    return [r["v"] for r in rows], [float(r["f"]) for r in rows]
-
-
-class FlexibleEncoderModel(JsonModel):
+class FlexibleEncoderModel(TableModel):
     def _transform(self, df: DataFrame) -> DataFrame:
         s, o = self.fitted, self.opts
         out = [F.col(c) for c in s["keep"] if c in df.columns]
-        for c, classes in s["label"].items():
-            if c in df.columns:
-                out.append(label_expr(c, classes).alias(c))
+        names = df.columns
+        table = self.table() if s["table"] else None
+        for i, c in enumerate(s["label"]):
+            if c in names:  # unseen → 0
+                df = _looked_up(df, table, "label", c, _text(F.col(c)), f"__label_{i}")
+                out.append(F.coalesce(F.col(f"__label_{i}"), F.lit(0)).cast("long").alias(c))
         for c, cats in s["onehot"].items():
-            if c in df.columns:
+            if c in names:
                 out += [e.alias(n) for n, e in onehot_exprs(c, cats, o["onehot_drop"] == "first").items()]
         for c, order in s["ordinal"].items():
-            if c in df.columns:
+            if c in names:
                 out.append(ordinal_expr(c, order).alias(c))
-        for c, (keys, freqs) in s["frequency"].items():
-            if c in df.columns:
-                out.append(frequency_expr(c, keys, freqs).alias(f"{c}_freq"))
+        for i, c in enumerate(s["frequency"]):
+            if c in names:  # training share of the value; unseen or NULL → 0
+                df = _looked_up(df, table, "frequency", c, F.col(c).cast("string"), f"__freq_{i}")
+                out.append(F.coalesce(F.col(f"__freq_{i}"), F.lit(0.0)).alias(f"{c}_freq"))
         return df.select(*out)
 
 
 class FlexibleEncoder(JsonEstimator):
     """Label, one-hot, ordinal and frequency encoding of chosen
-    columns in one projection. Output order: untouched columns, label codes,
-    one-hot columns, ordinal codes, frequencies (``<col>_freq``)."""
+    columns. Output order: untouched columns, label codes, one-hot columns,
+    ordinal codes, frequencies (``<col>_freq``)."""
     DEFAULTS = {"label_encode_cols": [], "onehot_encode_cols": [], "ordinal_encode_cols": [],
                 "ordinal_mappings": {}, "frequency_encode_cols": [], "onehot_drop": "first",
-                "handle_unknown": "ignore"}
+                "handle_unknown": "ignore", "max_width": MAX_WIDTH}
     model_class = FlexibleEncoderModel
 
     def _fit(self, df: DataFrame):
         o = self.opts
-        enc = set(o["label_encode_cols"] + o["onehot_encode_cols"] + o["ordinal_encode_cols"]
-                  + o["frequency_encode_cols"])
-        state = {"keep": [c for c in df.columns if c not in enc], "label": {}, "onehot": {},
-                 "ordinal": {}, "frequency": {}}
-        stat_cols = [c for c in dict.fromkeys(o["label_encode_cols"] + o["onehot_encode_cols"]
-                                              + o["frequency_encode_cols"]) if c in df.columns]
-        counts = category_counts(df, stat_cols)
-        for c in o["label_encode_cols"]:
-            if c in df.columns:
-                state["label"][c] = sorted({NAN_TEXT if v is None else v for v in counts[c]})
-        for c in o["onehot_encode_cols"]:
-            if c in df.columns:
-                cats = sorted(v for v in counts[c] if v is not None)
-                if None in counts[c]:
-                    cats.append(NAN_TEXT)  # a missing value is its own, last category
-                state["onehot"][c] = cats
-        for c in o["ordinal_encode_cols"]:
-            if c in df.columns and c in o["ordinal_mappings"]:
-                state["ordinal"][c] = list(o["ordinal_mappings"][c])
-        for c in o["frequency_encode_cols"]:
-            if c in df.columns:
-                total = sum(n for v, n in counts[c].items() if v is not None)
-                keys = sorted(v for v in counts[c] if v is not None)
-                state["frequency"][c] = [keys, [counts[c][k] / total for k in keys]]
+        label, onehot, frequency = ([c for c in o[f"{k}_encode_cols"] if c in df.columns]
+                                    for k in ("label", "onehot", "frequency"))
+        enc = {*o["label_encode_cols"], *o["onehot_encode_cols"], *o["ordinal_encode_cols"], *o["frequency_encode_cols"]}
+        state = {"keep": [c for c in df.columns if c not in enc], "label": label, "onehot": {}, "frequency": frequency,
+                 "ordinal": {c: list(o["ordinal_mappings"][c]) for c in o["ordinal_encode_cols"]
+                             if c in df.columns and c in o["ordinal_mappings"]}, "table": None}
+        cols = list(dict.fromkeys(label + onehot + frequency))
+        if not cols:
+            return self._make_model(state)
+        counts = df.sparkSession.read.parquet(stored_table(value_counts(df, cols), "value-counts"))
+        if onehot:
+            found = _onehot_categories(counts.where(F.col("c").isin(onehot)), o["max_width"])
+            state["onehot"] = {c: found.get(c, []) for c in onehot}
+        parts = []
+        if label:
+            named = counts.where(F.col("c").isin(label)).select("c", _text(F.col("v")).alias("v"))
+            parts.append(sorted_codes(named).select(F.lit("label").alias("kind"), "c", "v", "x"))
+        if frequency:
+            seen = counts.where(F.col("c").isin(frequency) & F.col("v").isNotNull())
+            totals = seen.groupBy("c").agg(F.sum("n").alias("total"))  # a row per column
+            parts.append(seen.join(F.broadcast(totals), "c")
+                         .select(F.lit("frequency").alias("kind"), "c", "v", (F.col("n") / F.col("total")).alias("x")))
+        if parts:
+            state["table"] = stored_table(reduce(DataFrame.unionByName, parts), "category-codes")
         return self._make_model(state)
 
 
-def category_counts(df: DataFrame, cols) -> dict[str, dict]:
-    """Counts of every value (NULL included, as text) of several columns in
-    one pass: unpivot to (column, value) and group once, combined map-side.
-    At most ``MAX_CATEGORIES`` values per column are accepted."""
-    if not cols:
-        return {}
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s"))
-    grouped = long.groupBy("s.c", "s.v").agg(F.count(F.lit(1)).alias("n"))
-    limit = (MAX_CATEGORIES + 2) * len(cols)
-    rows = grouped.limit(limit).collect()
-    out: dict[str, dict] = {c: {} for c in cols}
-    for r in rows:
-        out[r["c"]][r["v"]] = r["n"]
-    for c in cols:
-        if len(out[c]) > MAX_CATEGORIES + 1:
-            raise ValueError(f"{c}: more than {MAX_CATEGORIES} categories; use frequency or target encoding")
-    return out
-
-
 class HourBinOneHotModel(JsonModel):
     def _transform(self, df: DataFrame) -> DataFrame:
         o, cats = self.opts, self.fitted["categories"]
@@ -167,20 +148,23 @@ class HourBinOneHotModel(JsonModel):
 class HourBinOneHot(JsonEstimator):
     """dummies of the hour bin with the categories fixed at fit time
     (earlier dummies removed first); the bin column is dropped."""
-    DEFAULTS = {"bin_col": "HOUR_APPR_PROCESS_BIN", "prefix": "HOUR_BIN", "drop_first": False}
+    DEFAULTS = {"bin_col": "HOUR_APPR_PROCESS_BIN", "prefix": "HOUR_BIN", "drop_first": False, "max_width": MAX_WIDTH}
     model_class = HourBinOneHotModel
 
     def _fit(self, df: DataFrame):
-        return self._make_model({"categories": _distinct_sorted(df, self.opts["bin_col"])})
+        c = self.opts["bin_col"]
+        values = value_counts(df.where(F.col(c).isNotNull()), [c])
+        return self._make_model({"categories": _onehot_categories(values, self.opts["max_width"]).get(c, [])})
 
 
-class DictionaryEncoderModel(JsonModel):
+class DictionaryEncoderModel(TableModel):
     def _transform(self, df: DataFrame) -> DataFrame:
-        new = {}
-        for c, cats in self.fitted["categories"].items():
-            if c in df.columns:
-                new[c] = F.coalesce(_lookup(cats, list(range(len(cats))), F.col(c)), F.lit(-1)).cast("int")
-        return df.withColumns(new)
+        names, new = df.columns, {}
+        for i, c in enumerate(self.fitted["columns"]):
+            if c in names:
+                df = _looked_up(df, self.table(), "code", c, F.col(c).cast("string"), f"__code_{i}")
+                new[c] = F.coalesce(F.col(f"__code_{i}"), F.lit(-1)).cast("int")
+        return df.select(*[new[c].alias(c) if c in new else F.col(c) for c in names])
 
 
 class DictionaryEncoder(JsonEstimator):
@@ -191,35 +175,35 @@ class DictionaryEncoder(JsonEstimator):
 
     def _fit(self, df: DataFrame):
         cols = self.opts["columns"] or [c for c, t in df.dtypes if t == "string"]
-        return self._make_model({"categories": {c: _distinct_sorted(df, c) for c in cols}})
+        if not cols:
+            return self._make_model({"columns": [], "table": None})
+        codes = sorted_codes(value_counts(df, cols)).withColumn("kind", F.lit("code"))
+        return self._make_model({"columns": cols, "table": stored_table(codes, "category-codes")})
 
 
-class TargetEncoderModel(JsonModel):
+class TargetEncoderModel(TableModel):
     def _transform(self, df: DataFrame) -> DataFrame:
-        s = self.fitted
-        new = {}
-        for c, (keys, means) in s["maps"].items():
-            if c in df.columns:
-                new[f"{c}_te"] = F.coalesce(_lookup(keys, means, F.col(c).cast("string")), F.lit(s["prior"]))
-        return df.withColumns(new)
+        s, names, new = self.fitted, df.columns, {}
+        for i, c in enumerate(s["columns"]):
+            if c in names:
+                df = _looked_up(df, self.table(), "mean", c, F.col(c).cast("string"), f"__mean_{i}")
+                new[f"{c}_te"] = F.coalesce(F.col(f"__mean_{i}"), F.lit(s["prior"]).cast("double"))
+        return df.select(*[F.col(c) for c in names if c not in new], *[e.alias(n) for n, e in new.items()])
 
 
 class TargetEncoder(JsonEstimator):
     """F8 (documented option): mean target per category on training data;
-    NULL or unseen → the overall mean. One ``groupBy`` per column."""
+    NULL or unseen → the overall mean. One ``groupBy`` for all columns."""
     DEFAULTS = {"columns": [], "target": "TARGET"}
     model_class = TargetEncoderModel
 
     def _fit(self, df: DataFrame):
         o = self.opts
-        t = o["target"]
-        prior = df.agg(F.avg(t)).first()[0]
-        maps = {}
-        for c in o["columns"]:
-            rows = (df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v"))
-                    .agg(F.avg(t).alias("m")).limit(MAX_CATEGORIES + 1).collect())
-            if len(rows) > MAX_CATEGORIES:
-                raise ValueError(f"{c}: more than {MAX_CATEGORIES} categories")
-            rows.sort(key=lambda r: r["v"])
-            maps[c] = [[r["v"] for r in rows], [float(r["m"]) for r in rows]]
-        return self._make_model({"prior": prior, "maps": maps})
+        cols = list(o["columns"])
+        prior = df.agg(F.avg(o["target"])).first()[0]
+        if not cols:
+            return self._make_model({"prior": prior, "columns": [], "table": None})
+        pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])
+        means = (df.select(F.explode(pairs).alias("s"), F.col(o["target"]).alias("t")).where("s.v IS NOT NULL")
+                 .groupBy(F.lit("mean").alias("kind"), "s.c", "s.v").agg(F.avg("t").alias("x")))
+        return self._make_model({"prior": prior, "columns": cols, "table": stored_table(means, "category-codes")})

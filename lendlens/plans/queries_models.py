@@ -14,7 +14,7 @@ from lendlens.functions.exprs import EXT_COLS
 from lendlens.operators import evaluate as ev
 from lendlens.operators import sampling, stats
 from lendlens.operators.models import feature_importance
-from lendlens.operators.neighbours import knn_impute, smote
+from lendlens.operators.neighbours import KnnImputer, smote
 from lendlens.plans import experiments as ex
 from lendlens.plans.catalog import apps, oracle, r, register
 from lendlens.plans.pipeline import create_preprocessing_pipeline, load_pipeline, save_pipeline
@@ -196,12 +196,7 @@ def c6_knn_imputer(spark, sf_dir):
     correlated with each), fitted and applied on the whole table. Checked
     against a brute-force fixture in the tests (quadratic SQL is too slow)."""
     df = apps(spark, sf_dir)
-    numeric = [c for c, t in df.dtypes if t in ("double", "bigint", "int") and c not in EXT_COLS + ["ID", "TARGET"]]
-    top = []
-    for c in EXT_COLS:
-        top += [r["feature"] for r in stats.top_correlated(df, c, numeric, 5).collect()]
-    feats = sorted(set(top))
-    return knn_impute(df, df, EXT_COLS, feats, k=5).select("ID", *EXT_COLS)
+    return KnnImputer(target_cols=list(EXT_COLS)).fit(df).transform(df).select("ID", *EXT_COLS)
 
 
 # -------------------------------------------------- K5–K8, K17–K21, A

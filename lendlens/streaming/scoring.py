@@ -1,7 +1,7 @@
 """Streaming batch scoring (A5 as a Structured Streaming query).
 
-Every fitted stage's ``transform`` is a narrow projection (no aggregate of
-its input), so a saved preparation pipeline and classifier apply unchanged
+Every fitted stage's ``transform`` is a narrow projection or a left join with
+its own fitted table (no aggregate of its input), so a saved preparation pipeline and classifier apply unchanged
 to a stream: new application files landing in a folder are prepared, scored
 and appended to a Parquet sink, with progress kept in a checkpoint folder on
 shared storage (exactly-once file sink, restartable after failures).

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lendlens.functions.ranking import running_sums
 from lendlens.operators import charts, encode, select
+from lendlens.operators.neighbours import KnnImputer
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -77,6 +78,48 @@ def test_ordinal_codes_of_null_and_unknown(spark):
     assert {r["id"]: r["c"] for r in enc.fit(df).transform(df).collect()} == {1: 0.0, 2: -1.0, 3: 1.0, 4: -1.0}
 
 
+def test_encoders_of_many_values_and_saved_tables(spark, tmp_path):
+    n = 120_000
+    df = spark.range(n).select(F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("c"),
+                               (F.col("id") % 2).cast("int").alias("TARGET"), "id")
+    rows = df.where("id IN (0, 17, 119999)").unionByName(spark.createDataFrame([("new", 0, -1), (None, 0, -2)], "c string, TARGET int, id long"))
+    models = [(encode.FlexibleEncoder(label_encode_cols=["c"]), "c", {0: 0, 17: 17, 119999: 119999, -1: 0, -2: 0}),
+              (encode.FlexibleEncoder(frequency_encode_cols=["c"]), "c_freq", {0: 1 / n, 17: 1 / n, 119999: 1 / n, -1: 0.0, -2: 0.0}),
+              (encode.DictionaryEncoder(columns=["c"]), "c", {0: 0, 17: 17, 119999: 119999, -1: -1, -2: -1}),
+              (encode.TargetEncoder(columns=["c"]), "c_te", {0: 0.0, 17: 1.0, 119999: 1.0, -1: 0.5, -2: 0.5})]
+    for i, (encoder, name, want) in enumerate(models):
+        model = encoder.fit(df)
+        model.write().save(f"{tmp_path}/{i}")
+        again = type(model).load(f"{tmp_path}/{i}")
+        assert again.fitted["table"] == f"{tmp_path}/{i}/table"
+        assert {r["id"]: r[name] for r in again.transform(rows).collect()} == pytest.approx(want)
+    with pytest.raises(ValueError):
+        encode.FlexibleEncoder(onehot_encode_cols=["c"]).fit(df)
+
+
+@pytest.mark.parametrize("width, share", [(9, 0.4), (18, 0.15)])
+def test_knn_imputer_of_many_missing_patterns(spark, width, share):
+    rng = np.random.default_rng(width)
+    x = rng.normal(size=(300, width)) * np.linspace(0.2, 3, width)
+    x[rng.random(x.shape) < share] = np.nan
+    names = [f"x{i}" for i in range(width)]
+    df = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)],
+                               "ID long, " + ", ".join(f"{c} double" for c in names))
+    model = KnnImputer(target_cols=names[:2], feature_cols=names[2:]).fit(df)
+    got = {r["ID"]: r for r in model.transform(df).collect()}
+    assert len(got) == 300
+    for i in range(300):
+        for c in (0, 1):
+            if not np.isnan(x[i, c]):
+                assert got[i][names[c]] == x[i, c]
+                continue
+            both = ~np.isnan(x) & ~np.isnan(x[i])
+            d = np.sqrt(np.where(both, (x - x[i]) ** 2, 0).sum(1) * width / np.maximum(both.sum(1), 1))
+            d[~both.any(1) | np.isnan(x[:, c])] = np.inf
+            near = np.lexsort((np.arange(300), d))[:5]
+            assert got[i][names[c]] == pytest.approx(x[near[np.isfinite(d[near])], c].mean(), rel=1e-9)
+
+
 def test_package_reaches_workers_from_another_folder(tmp_path):
     code = (f"import sys; sys.path.insert(0, {ROOT!r})\n"
             "from pyspark.sql import SparkSession\n"
