@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,25 +76,24 @@ def classify_variables(df: DataFrame, ordinal_cols=(), max_discrete: int = 20,
 
 def distinct_counts_upto(df: DataFrame, cols, limit: int) -> dict[str, int]:
     """Exact distinct counts for columns with few values; ``limit + 1`` for the
-    rest. One HyperLogLog pass (no per-column row expansion) rules out the
-    clearly high-cardinality columns; the remaining ones are counted exactly
-    by one grouped pass over (column, value), combined map-side, whose result
-    is small by construction."""
+    rest. Each task keeps at most ``limit + 1`` distinct values a column, so
+    one pass decides for every column."""
     if not cols:
         return {}
-    approx = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
-    # HLL++ is exact in its sparse range; 2x margin plus a floor keeps it safe.
-    low = [c for c in cols if approx[c] <= max(2 * limit, limit + 64)]
-    out = {c: limit + 1 for c in cols}
-    if low:
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in low])).alias("s"))
-        rows = (long.where(F.col("s.v").isNotNull()).groupBy("s.c", "s.v").count()
-                .groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect())
-        got = {r["c"]: r["n"] for r in rows}
-        for c in low:
-            out[c] = got.get(c, 0)
-    return out
+    cols = list(cols)
+
+    def few(it):
+        seen = [set() for _ in cols]
+        for pdf in it:
+            for i, found in enumerate(seen):
+                if len(found) <= limit:
+                    found.update(pdf.iloc[:, i].dropna().unique()[:limit + 1])
+        yield pd.DataFrame([(i, float(v)) for i, found in enumerate(seen) for v in list(found)[:limit + 1]], columns=["i", "v"])
+
+    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)]).mapInPandas(few, "i int, v double")
+    rows = values.groupBy("i", "v").agg(F.lit(1).alias("one")).groupBy("i").agg(F.count("one").alias("n")).collect()
+    got = {cols[r["i"]]: r["n"] for r in rows}
+    return {c: min(got.get(c, 0), limit + 1) for c in cols}
 
 
 def drop_incomplete_rows(df: DataFrame, subset=None) -> DataFrame:

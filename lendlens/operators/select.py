@@ -16,24 +16,12 @@ from pyspark.sql import functions as F
 
 from lendlens.operators.base import JsonEstimator, JsonModel
 
-JVM_GRAM_MAX_COLS = 40
-
 
 def gram_matrix(df: DataFrame, cols) -> tuple[np.ndarray, np.ndarray, int]:
     """(XᵀX, column sums, n) over rows complete in ``cols`` (as doubles)."""
     cols = list(cols)
     p = len(cols)
     base = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]).na.drop()
-    if p <= JVM_GRAM_MAX_COLS:
-        aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(f"x{i}").alias(f"s{i}") for i in range(p)]
-        aggs += [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"g{i}_{j}") for i in range(p) for j in range(i, p)]
-        row = base.agg(*aggs).first()
-        G = np.zeros((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                G[i, j] = G[j, i] = row[f"g{i}_{j}"] or 0.0
-        s = np.array([row[f"s{i}"] or 0.0 for i in range(p)])
-        return G, s, int(row["n"])
 
     def partial(it):
         G = s = None

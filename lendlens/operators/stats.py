@@ -18,8 +18,6 @@ from lendlens.functions.quantiles import exact_quantiles
 from lendlens.functions.ranking import average_ranks, running_sums
 from lendlens.functions.stats_math import chi2_sf_udf, corr_p_udf, f_sf_udf
 
-MAX_CLASSES = 64
-
 
 def _unpivot(df: DataFrame, features, target: str, as_text: bool) -> DataFrame:
     vt = "string" if as_text else "double"
@@ -29,13 +27,6 @@ def _unpivot(df: DataFrame, features, target: str, as_text: bool) -> DataFrame:
     return long.where(F.col("value").isNotNull() & F.col("t").isNotNull())
 
 
-def _classes(df: DataFrame, target: str) -> list:
-    vals = df.select(target).where(F.col(target).isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()
-    if len(vals) > MAX_CLASSES:
-        raise ValueError(f"{target} has more than {MAX_CLASSES} classes")
-    return sorted(r[0] for r in vals)
-
-
 # ---------------------------------------------------------------- H1–H3, G4
 def correlation_matrix(df: DataFrame, cols, method: str = "auto") -> DataFrame:
     """H1: pairwise-complete Pearson correlation, long form ``(col_a, col_b,
@@ -203,41 +194,30 @@ def contingency_stats(df: DataFrame, features, target: str = "TARGET", yates: bo
     ``groupBy(feature, value, target)``: chi-square (Yates-corrected when
     dof = 1), dof, p-value, Cramér's V, information value (class shares
     + 0.0001, natural log) and mutual information (natural log)."""
-    long = _unpivot(df, features, target, as_text=True)
-    classes = _classes(df, target)
-    if not classes:
-        return df.sparkSession.createDataFrame(
-            [], "feature string, unique_values long, chi2 double, dof long, n long, cramers_v double, "
-                "information_value double, mutual_information double, p_value double")
-    cells = long.groupBy("feature", "value").agg(
-        *[F.sum((F.col("t") == F.lit(c)).cast("long")).alias(f"n{i}") for i, c in enumerate(classes)])
-    k = len(classes)
-    feat = cells.groupBy("feature").agg(F.count(F.lit(1)).alias("r"),
-                                        *[F.sum(f"n{i}").alias(f"col{i}") for i in range(k)])
-    feat = feat.withColumns({"n": sum((F.col(f"col{i}") for i in range(k)), F.lit(0)),
-                             "c": sum(((F.col(f"col{i}") > 0).cast("int") for i in range(k)), F.lit(0))})
-    feat = feat.withColumn("dof", (F.col("r") - 1) * (F.col("c") - 1))
-    j = cells.join(F.broadcast(feat), "feature")
-    row_tot = sum((F.col(f"n{i}") for i in range(k)), F.lit(0)).cast("double")
-    chi_terms, mi_terms = [], []
-    for i in range(k):
-        o = F.col(f"n{i}").cast("double")
-        e = row_tot * F.col(f"col{i}") / F.col("n")
-        d = F.abs(o - e)
-        adj = F.when(F.lit(yates) & (F.col("dof") == 1), d - F.least(F.lit(0.5), d)).otherwise(d)
-        chi_terms.append(F.when(F.col(f"col{i}") > 0, adj * adj / e).otherwise(F.lit(0.0)))
-        mi_terms.append(F.when(o > 0, o / F.col("n") * F.log(o * F.col("n") / (row_tot * F.col(f"col{i}"))))
-                        .otherwise(F.lit(0.0)))
-    iv_term = F.lit(0.0)
-    if 0 in classes and 1 in classes:
-        g, b = classes.index(0), classes.index(1)
-        good = F.col(f"n{g}") / F.col(f"col{g}") + 0.0001
-        bad = F.col(f"n{b}") / F.col(f"col{b}") + 0.0001
-        iv_term = F.when((F.col(f"col{g}") > 0) & (F.col(f"col{b}") > 0), (bad - good) * F.log(bad / good)).otherwise(0.0)
-    j = j.select("feature", "r", "c", "n", "dof", sum(chi_terms, F.lit(0.0)).alias("chi"),
-                 sum(mi_terms, F.lit(0.0)).alias("mi"), iv_term.alias("iv"))
-    out = j.groupBy("feature", "r", "c", "n", "dof").agg(F.sum("chi").alias("chi"), F.sum("mi").alias("mi"),
-                                                         F.sum("iv").alias("iv"))
+    cells = _unpivot(df, features, target, as_text=True).groupBy("feature", "value", "t").agg(F.count(F.lit(1)).alias("o"))
+    kind = F.col("t").try_cast("double")
+    hits = [F.coalesce(F.sum(F.when(kind == c, F.col("o"))), F.lit(0)).alias(name) for c, name in ((0, "good"), (1, "bad"))]
+    rows = cells.groupBy("feature", "value").agg(F.sum("o").alias("row"), *hits)
+    cols = cells.groupBy("feature", "t").agg(F.sum("o").alias("col"))
+    feat = rows.groupBy("feature").agg(F.count(F.lit(1)).alias("r"), F.sum("row").alias("n"), F.sum(1 / F.col("row")).alias("inv_r"),
+                                       F.sum("good").alias("goods"), F.sum("bad").alias("bads"))
+    feat = feat.join(cols.groupBy("feature").agg(F.count(F.lit(1)).alias("c"), F.sum(1 / F.col("col")).alias("inv_c")), "feature")
+    feat = feat.withColumn("dof", (F.col("r") - 1) * (F.col("c") - 1))  # a row per feature
+    # Cells that hold no row add e each: n less the e of the others.
+    e = F.col("row").cast("double") * F.col("col") / F.col("n")
+    off = F.abs(F.col("o") - e)
+    sums = (cells.join(rows.select("feature", "value", "row"), ["feature", "value"]).join(cols, ["feature", "t"])
+            .join(F.broadcast(feat.select("feature", "n")), "feature").groupBy("feature")
+            .agg(F.sum(off * off / e).alias("part"), F.sum(e).alias("seen"), F.max(off).alias("off"),
+                 F.sum(F.col("o") / F.col("n") * F.log(F.col("o") / e)).alias("mi")))
+    good, bad = F.col("good") / F.col("goods") + 0.0001, F.col("bad") / F.col("bads") + 0.0001
+    iv = (rows.join(F.broadcast(feat.where("goods > 0 AND bads > 0").select("feature", "goods", "bads")), "feature")
+          .groupBy("feature").agg(F.sum((bad - good) * F.log(bad / good)).alias("iv")))
+    out = feat.join(sums, "feature").join(iv, "feature", "left").withColumn("iv", F.coalesce("iv", F.lit(0.0)))
+    # In a 2 x 2 table all four cells are equally far off.
+    less = F.col("off") - F.least(F.lit(0.5), F.col("off"))
+    out = out.withColumn("chi", F.when(F.lit(yates) & (F.col("dof") == 1), less * less * F.col("n") * F.col("inv_r") * F.col("inv_c"))
+                         .otherwise(F.col("part") + (F.col("n") - F.col("seen"))))
     chi2 = F.when(F.col("dof") > 0, F.col("chi")).otherwise(F.lit(0.0))
     out = out.select("feature", F.col("r").cast("long").alias("unique_values"), chi2.alias("chi2"),
                      F.col("dof").cast("long").alias("dof"), F.col("n").cast("long").alias("n"),

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendlens.functions.ranking import running_sums
-from lendlens.operators import charts, encode, select
+from lendlens.operators import charts, encode, profile, select, stats
 from lendlens.operators.neighbours import KnnImputer
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -120,6 +120,29 @@ def test_knn_imputer_of_many_missing_patterns(spark, width, share):
             assert got[i][names[c]] == pytest.approx(x[near[np.isfinite(d[near])], c].mean(), rel=1e-9)
 
 
+def test_contingency_of_many_classes(spark):
+    rng = np.random.default_rng(5)
+    f, t = rng.integers(0, 6, 4000), rng.integers(0, 90, 4000)
+    df = spark.createDataFrame([(f"v{a}", int(b)) for a, b in zip(f, t)], "f string, TARGET int")
+    table = np.zeros((6, 90))
+    np.add.at(table, (f, t), 1)
+    e = table.sum(1, keepdims=True) * table.sum(0) / 4000
+    got = stats.contingency_stats(df, ["f"]).collect()[0]
+    assert got["dof"] == 5 * 89 and got["chi2"] == pytest.approx(((table - e) ** 2 / e).sum(), rel=1e-9)
+    p = table / 4000
+    assert got["mutual_information"] == pytest.approx((p * np.log(np.where(p > 0, p * 4000 / e, 1))).sum(), rel=1e-9)
+    two = spark.createDataFrame([("a", 0)] * 7 + [("b", 1)] * 5 + [("b", 0)] * 3, "f string, TARGET int")
+    # 2 x 2 with an empty cell: every cell is 2.3333 off, 0.5 less by Yates.
+    off = abs(7 - 7 * 10 / 15) - 0.5
+    want = sum(off ** 2 / (r * c / 15) for r in (7, 8) for c in (10, 5))
+    assert stats.contingency_stats(two, ["f"]).collect()[0]["chi2"] == pytest.approx(want)
+
+
+def test_distinct_counts_up_to_a_limit(spark):
+    df = spark.range(0, 5000, 1, 6).select((F.col("id") % 7).alias("a"), "id", F.lit(None).cast("double").alias("z"))
+    assert profile.distinct_counts_upto(df, ["a", "id", "z"], 10) == {"a": 7, "id": 11, "z": 0}
+
+
 def test_package_reaches_workers_from_another_folder(tmp_path):
     code = (f"import sys; sys.path.insert(0, {ROOT!r})\n"
             "from pyspark.sql import SparkSession\n"
