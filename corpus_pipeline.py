@@ -23,8 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each component of near duplicates."""
-    return near_dedup.one_of_each(docs)
+    """One document, that with the smallest id, of each component linked at similarity 0.80 of 5-word shingles."""
+    return near_dedup.one_of_each(docs, width=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

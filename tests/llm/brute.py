@@ -38,9 +38,9 @@ def shingles(text, width=3):
     return {tuple(w[k:k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
 
 
-def near_components(rows, percent=85):
+def near_components(rows, percent=85, width=3):
     """rows: (id, text) with distinct ids. {id: (n_shingles, component)}; exact, by a full inverted index."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, width) for i, t in rows}
     index, parent = {}, {i: i for i in sets}
 
     def find(x):

@@ -69,3 +69,18 @@ def test_edge_rows(spark, make_docs, table_dir):
     path = table_dir(documents=make_docs(rows), labels=spark.createDataFrame([(3, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int"),
                      benchmark=spark.createDataFrame([(None, None), (1, "q w e r t y")], "item_id long, text string"))
     assert {r["doc_id"] for r in P.run(spark, path).collect()} <= {1, 2, 3, 5}
+
+
+def test_near_duplicates_takes_five_words_at_80_percent(spark, make_docs):
+    text = [f"w{k}" for k in range(200)]
+    rows = [(1, " ".join(text)), (2, " ".join(text + [f"x{k}" for k in range(45)])),  # 196 / 241: linked
+            (3, " ".join(f"v{k}" for k in range(200))), (4, " ".join([f"v{k}" for k in range(200)] + [f"y{k}" for k in range(55)]))]  # 196 / 251: not
+    comp = brute.near_components(rows, percent=80, width=5)
+    got = by_id(P.drop_near_duplicates(spark, make_docs(rows), SMOKE_DIR))
+    assert set(got) == {i for i, (_, c) in comp.items() if i == c} == {1, 3, 4}
+
+
+def test_near_duplicates_of_the_smoke_table(spark):
+    docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
+    comp = brute.near_components([(r["doc_id"], r["text"]) for r in docs.collect()], percent=80, width=5)
+    assert set(by_id(P.drop_near_duplicates(spark, docs, SMOKE_DIR))) == {i for i, (_, c) in comp.items() if i == c}
