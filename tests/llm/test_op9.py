@@ -72,3 +72,32 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(500, 900), (900, 700)], "u long, v long")
     got = {r["id"]: r["component"] for r in components(edges).collect()}
     assert got == {**{k: 0 for k in range(201)}, 500: 500, 700: 500, 900: 500}
+
+
+def test_size_of_a_group_does_not_change_links(spark, make_docs, monkeypatch):
+    """16 pairs above 0.85, all in one joined group far above the limits."""
+    monkeypatch.setattr(N, "NODE_ROWS", 8)
+    monkeypatch.setattr(N, "GROUP_SHINGLES", 1000)
+    monkeypatch.setattr(N, "BLOCKS_AT_ONCE", 2, raising=False)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(180)]
+    texts = []
+    for g in range(16):  # each member is below 0.85 to the other pairs
+        own = [f"g{g}x{k}" for k in range(9)]
+        texts += [" ".join(base + own + [f"p{g}m{m}y{k}" for k in range(15)]) for m in range(2)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    full = want(rows)
+    assert len({c for _, c, _ in full.values()}) == 16
+    assert result(N.near_components(make_docs(rows))) == full
+
+
+def test_texts_longer_than_a_task_holds(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(N, "GROUP_SHINGLES", 150)
+    base = [f"w{k}" for k in range(400)]
+    texts = [" ".join(base + [f"a{m}x{k}" for k in range(30)]) for m in range(6)] + [" ".join(base[:380])]
+    texts += [" ".join([f"v{k}" for k in range(140)] + [f"b{m}x{k}" for k in range(4 + 9 * m)]) for m in range(2)]
+    rows = list(enumerate(texts))
+    full = want(rows)
+    assert [full[i][1] for i in range(9)] == [0] * 7 + [7, 7]
+    assert result(N.near_components(make_docs(rows))) == full
