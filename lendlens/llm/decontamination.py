@@ -8,6 +8,10 @@ slots consistently: each slot value of the item has one value in the
 document.  A verbatim copy and a re-parameterised question both pass, while a
 chance match of templates doesn't cover enough of an item.
 
+Windows with few plain words would match by chance.  They are compared word
+by word, with the values of their slots, and count for items that templates
+alone don't show.  So a verbatim copy of any item is found.
+
 Documents send only windows whose hash is marked in a bitmap of the
 benchmark's hashes.  The bitmap has a fixed size: a larger benchmark lets
 more windows through to the join and changes no result.
@@ -24,7 +28,7 @@ from lendlens.llm import textkernels as K
 from lendlens.llm.common import small_batches, written
 
 WIDTH = 8
-#: Plain words that a window needs; shorter items than this many tokens name nothing and never match.
+#: Plain words that a template window needs; shorter items than this many tokens name nothing and never match.
 MIN_LITERALS = 4
 MIN_TOKENS = 5
 #: Share of an item's windows that a document must hold.
@@ -101,14 +105,18 @@ def template_tokens(data: np.ndarray, offsets: np.ndarray):
 
 
 _LEAD = K.U64(0xD6E8FEB86659FD93)
+_VERBATIM = K.U64(0xA0761D6478BD642F)
 
 
 def template_windows(texts: pa.Array, widths, open_too: bool):
-    """Yields (first row, owner, position, width, key, slots) of the windows with enough plain words.
+    """Yields (first row, owner, position, width, key, slots, verbatim) of the windows with enough plain words, then of verbatim ones.
 
     slots lists the values of each window's placeholders.  With `open_too`, a
     window that begins with a name is also given with that word as a plain
     one: a passage's first word has a capital wherever the passage stands.
+    Verbatim windows have the key of their values and no slots: with
+    `open_too` all windows, else those with too few plain words and each
+    text's first, whose first token may be of another kind inside a document.
     """
     for lo, hi in K.blocks(K.sizes_of(texts)):
         data, offsets = K.as_bytes(texts.slice(lo, hi - lo))
@@ -124,7 +132,11 @@ def template_windows(texts: pa.Array, widths, open_too: bool):
                 chosen = (plain + opened >= min(MIN_LITERALS, width)) & ((kind[at] == NAME) | (not opened))
                 own = at[chosen]
                 key = K.mix((value if opened else template)[own] * _LEAD + rest[chosen])
-                yield lo, owner[chosen], own - first[:-1][owner[chosen]], width, key, _Slots(own, width, value, kind, opened)
+                yield lo, owner[chosen], own - first[:-1][owner[chosen]], width, key, _Slots(own, width, value, kind, opened), False
+            chosen = np.full(len(at), open_too) | (plain < min(MIN_LITERALS, width)) | (at == first[:-1][owner])
+            own = at[chosen]
+            key = K.mix(K.window_hashes(value, width)[own] ^ _VERBATIM)
+            yield lo, owner[chosen], own - first[:-1][owner[chosen]], width, key, _NoSlots(own), True
 
 
 class _Slots:
@@ -143,8 +155,18 @@ class _Slots:
                                         pa.array(self.value[cells[is_slot]].view(np.int64), pa.int64()))
 
 
+class _NoSlots:
+    """Verbatim windows: nothing is left open."""
+
+    def __init__(self, at):
+        self.at = at
+
+    def array(self, wanted=slice(None)) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.zeros(len(self.at[wanted]) + 1), pa.int32()), pa.array([], pa.int64()))
+
+
 def _item_rows(batches):
-    """Task: (key, item, at, slots, windows) of each item's windows; an item shorter than WIDTH is one window."""
+    """Task: (key, item, at, slots, windows, width, verbatim) of each item's windows; an item shorter than WIDTH is one window."""
     for batch in batches:
         for lo, hi in K.blocks(K.sizes_of(batch.column(1))):
             part = batch.slice(lo, hi - lo)
@@ -154,11 +176,12 @@ def _item_rows(batches):
                 own = np.flatnonzero((lengths == width) if width < WIDTH else (lengths >= WIDTH))
                 chosen = part.take(pa.array(own))
                 total = lengths[own] - width + 1
-                for low, owner, pos, _, key, slots in template_windows(chosen.column(1), [width], False):
+                for low, owner, pos, _, key, slots, verbatim in template_windows(chosen.column(1), [width], False):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key.view(np.int64)), chosen.column(0).take(pa.array(low + owner)), pa.array(pos, pa.int64()),
                          slots.array(), pa.array(total[low + owner], pa.int64()),
-                         pa.array(np.full(len(pos), width), pa.int32())], ["key", "item", "item_at", "item_slots", "windows", "width"])
+                         pa.array(np.full(len(pos), width), pa.int32()), pa.array(np.full(len(pos), verbatim))],
+                        ["key", "item", "item_at", "item_slots", "windows", "width", "verbatim"])
 
 
 def _document_rows(widths, bitmap):
@@ -168,7 +191,7 @@ def _document_rows(widths, bitmap):
         marks = np.unpackbits(bitmap.value, bitorder="little").view(bool)
         bits = K.U64(len(marks))
         for batch in batches:
-            for lo, owner, pos, _, key, slots in template_windows(batch.column(1), widths, True):
+            for lo, owner, pos, _, key, slots, _ in template_windows(batch.column(1), widths, True):
                 hit = marks[(key % bits).astype(np.int64)]
                 if hit.any():
                     yield pa.RecordBatch.from_arrays(
@@ -189,22 +212,27 @@ def _bitmap(items: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
+def _distinct(places: str):
+    return F.size(F.array_distinct(F.flatten(F.collect_set(places)))).cast("long")
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
     """(id, item, matched_windows, item_windows, share, reparameterised) of each document that holds enough of an item.
 
     share is the part of the item's windows found with consistent slots;
-    reparameterised says that some slot has another value than the item's.
+    windows with too few plain words are found verbatim only, and counted
+    where the others don't reach the share.  reparameterised says that some
+    slot has another value than the item's.
     Null or empty texts hold nothing; rows with a null id, or items with a
     null id, are passed over; rows that repeat an id count as one document;
-    items of fewer than MIN_TOKENS tokens, or without MIN_LITERALS plain words
-    together, never match.  An empty table gives an empty result.
+    items of fewer than MIN_TOKENS tokens never match.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
     small_batches(spark)
     sources = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t"))
     items = written(sources.mapInArrow(
-        _item_rows, "key long, item long, item_at long, item_slots array<long>, windows long, width int"), "items")
+        _item_rows, "key long, item long, item_at long, item_slots array<long>, windows long, width int, verbatim boolean"), "items")
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())
     bitmap = spark.sparkContext.broadcast(_bitmap(items))
     narrow = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
@@ -213,13 +241,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     # One alignment: the same distance between the places in the document and in the item.
     one = met.groupBy("id", "item", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.max("windows").alias("windows"), F.collect_set("item_at").alias("places"),
+        F.collect_set(F.when(~F.col("verbatim"), F.col("item_at"))).alias("template_places"),
         F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("item_slots", "slots")))).alias("pairs"))
     one = one.where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p.item_slots))))
     other = F.exists("pairs", lambda p: p.item_slots != p.slots)
     found = one.groupBy("id", "item").agg(
-        F.max("windows").alias("item_windows"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("matched_windows"),
-        F.min(other).alias("reparameterised"))
+        F.max("windows").alias("item_windows"), _distinct("template_places").alias("by_template"), _distinct("places").alias("by_any"),
+        F.min(F.when(F.size("template_places") > 0, other)).alias("template_other"), F.min(other).alias("any_other"))
+    # Templates alone, where they are enough; else with the verbatim windows.
+    enough = F.col("by_template") / F.col("item_windows") >= min_share
+    found = found.withColumn("matched_windows", F.when(enough, F.col("by_template")).otherwise(F.col("by_any"))).withColumn(
+        "reparameterised", F.when(enough, F.col("template_other")).otherwise(F.col("any_other")))
     found = found.withColumn("share", F.col("matched_windows") / F.col("item_windows")).where(F.col("share") >= min_share)
     return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "matched_windows", "item_windows",
                         "share", "reparameterised")

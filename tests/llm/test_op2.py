@@ -68,3 +68,15 @@ def test_empty_tables(spark, make_docs):
     items = spark.createDataFrame([(1, "how many sheep are left now")], "item_id long, text string")
     assert D.find_leaks(make_docs([]), items).collect() == []
     assert D.find_leaks(make_docs([(1, "how many sheep are left now")]), items.limit(0)).collect() == []
+
+
+def test_verbatim_copies_of_items_with_few_plain_words(spark, make_docs):
+    items = [(1, " ".join(str(k * 7) for k in range(30))), (2, "the sum of all these numbers below is what then " + " ".join(str(k) for k in range(100, 120))),
+             (3, "Paris, London, Rome, Berlin, Madrid, Vienna, Oslo, Bern, Prague, Lisbon"), (4, "12 + 30 = 42, 7, 8"), (5, "km 3 4 5 6 of 9"),
+             (6, "3 km 4 kg 5 lbs 6 miles 7 hours")]
+    docs = [(k, f"Now we see 9 {t} and more words") for k, t in items]
+    docs += [(10, " ".join(str(k * 7 + 1) for k in range(30))), (11, "the Paris, Rome, London and Berlin of 12 + 30 = 43, 7, 8"),
+             (12, items[1][1].replace("1", "2")), (13, "3 km 4 kg 5 lbs 6 miles 8 hours")]
+    got = result(D.find_leaks(make_docs(docs), spark.createDataFrame(items, "item_id long, text string")))
+    windows = {1: 23, 2: 23, 3: 3, 4: 1, 5: 1, 6: 3}
+    assert got == {(k, k): (n, n, False) for k, n in windows.items()}
