@@ -12,6 +12,7 @@ from lendlens.llm import toxicity
 from lendlens.llm.chat_format import format_chats, read_back
 from lendlens.llm.common import read, train_row
 from lendlens.llm.decontamination import find_leaks
+from lendlens.llm.importance_resampling import resample
 from lendlens.llm.language_id import identify, train_dictionaries
 from lendlens.llm.mixing import mix_sources
 from lendlens.llm.near_dedup import near_components
@@ -168,3 +169,39 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     """The (document, benchmark item) pairs in which the document holds the item, verbatim or re-parameterised."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return find_leaks(docs, read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of each document towards the benchmark's word n-grams, and the ranks of the 5% drawn."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample(docs, read(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLES["op13_importance_resampling"] = r"""
+WITH RECURSIVE bits AS (SELECT range AS b, range AS c, 0 AS k FROM range(256)
+          UNION ALL SELECT b, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+tbl AS (SELECT list(c ORDER BY b) AS l FROM bits WHERE k = 8),
+texts AS (SELECT 'd' AS side, doc_id, coalesce(text, '') AS t FROM documents UNION ALL SELECT 'b', item_id, coalesce(text, '') FROM benchmark),
+ws AS (SELECT side, doc_id, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+grams AS (SELECT side, doc_id, unnest(list_concat(w, list_concat(
+              list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]),
+              list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])))) AS f FROM ws),
+n AS (SELECT side, doc_id, f, count(*) AS c FROM grams GROUP BY ALL),
+names AS (SELECT DISTINCT f FROM n),
+hashed AS (SELECT f, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+                     list_transform(range(1, 2 * strlen(f), 2), lambda i: CAST(('0x' || substr(hex(encode(f)), i, 2)) AS BIGINT))),
+                     lambda a, x: xor(l[(xor(a, x) & 255) + 1], a >> 8)), 4294967295) % 10000 AS bucket FROM names, tbl),
+h AS (SELECT side, doc_id, bucket, sum(c) AS c FROM n JOIN hashed USING (f) GROUP BY ALL),
+b AS (SELECT bucket, coalesce(sum(c) FILTER (WHERE side = 'd'), 0) AS s, coalesce(sum(c) FILTER (WHERE side = 'b'), 0) AS t FROM h GROUP BY bucket),
+a AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM b),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * (all_s + 10000) / ((s + 1.0::DOUBLE) * (all_t + 10000)))) AS BIGINT) AS g FROM b, a),
+d AS (SELECT doc_id, CAST(sum(c) AS BIGINT) AS n_features, CAST(sum(c * g) AS BIGINT) AS weight
+      FROM h JOIN gain USING (bucket) WHERE side = 'd' GROUP BY doc_id),
+r AS (SELECT ws.doc_id, len(w) >= 20 AS fits, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || ws.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                                                            / 4294967296))) AS BIGINT) AS score
+      FROM ws LEFT JOIN d USING (doc_id) WHERE side = 'd'),
+p AS (SELECT *, row_number() OVER (PARTITION BY fits ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY fits) AS n FROM r)
+SELECT doc_id, n_features, weight, score, CASE WHEN fits AND place <= 5 * n // 100 THEN place END AS rank FROM p"""

@@ -160,3 +160,31 @@ def leaks(docs, items, units, width=8, min_literals=4, min_tokens=5, min_share=0
             if places and len(places) / total >= min_share:
                 out[doc, item] = (len(places), total, min(changed))
     return out
+
+
+def resampling(docs, target, buckets=10000, share=(5, 100), min_words=20, seed=42):
+    """docs: (id, text), target: texts. [(id, n_features, weight, score, rank)] in the order of docs."""
+    import math
+    import zlib
+    from collections import Counter
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+    def grams(text):
+        w = word.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        out = [zlib.crc32(" ".join(w[k:k + n]).encode()) % buckets for n in (1, 2, 3) for k in range(len(w) - n + 1)]
+        return len(w), out
+
+    found = [grams(t) for _, t in docs]
+    s, t = Counter(b for _, g in found for b in g), Counter(b for x in target for b in grams(x)[1])
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets)))) for b in range(buckets)]
+    rows = []
+    for (i, _), (_, g) in zip(docs, found):
+        h = int(hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[b] for b in g)
+        rows.append([i, len(g), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None])
+    order = sorted((k for k, (n, _) in enumerate(found) if n >= min_words),
+                   key=lambda k: (-rows[k][3], rows[k][0] is None, rows[k][0] or 0))
+    for place, k in enumerate(order[:share[0] * len(order) // share[1]], 1):
+        rows[k][4] = place
+    return [tuple(r) for r in rows]
