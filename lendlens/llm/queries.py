@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlens.llm import toxicity
+from lendlens.llm.bpe_transducer import decode_ids, encode_texts
 from lendlens.llm.chat_format import format_chats, read_back
 from lendlens.llm.common import read, train_row
 from lendlens.llm.decontamination import find_leaks
@@ -205,3 +206,13 @@ r AS (SELECT ws.doc_id, len(w) >= 20 AS fits, coalesce(n_features, 0) AS n_featu
       FROM ws LEFT JOIN d USING (doc_id) WHERE side = 'd'),
 p AS (SELECT *, row_number() OVER (PARTITION BY fits ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY fits) AS n FROM r)
 SELECT doc_id, n_features, weight, score, CASE WHEN fits AND place <= 5 * n // 100 THEN place END AS rank FROM p"""
+
+
+@query
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each document's word-level BPE ids and of the text that they decode to."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    ids = encode_texts(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    return decode_ids(ids, vocabulary).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
