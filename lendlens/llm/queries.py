@@ -21,6 +21,7 @@ from lendlens.llm.quality_rules import judge
 from lendlens.llm.substring_dedup import remove_repeats
 from lendlens.llm.token_counts import count_tokens
 from lendlens.llm.url_filter import judge_urls
+from lendlens.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -216,3 +217,10 @@ def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_ids(ids, vocabulary).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each embedding on the first four principal components, scaled to unit variance."""
+    rows = read(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    return whiten(rows).select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
