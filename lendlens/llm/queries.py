@@ -163,7 +163,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, read(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return toxicity.score(docs, model, keep=["doc_id"]).select(
-        "doc_id", (~train_row()).alias("held_out"), "score", "predicted")
+        "doc_id", (~train_row()).alias("held_out"), "score", "predicted", "evidence")
 
 
 @query

@@ -2,8 +2,9 @@
 
 A batch of UTF-8 texts is one byte buffer plus offsets.  All kernels work on
 that buffer with whole-array operations, so a task never loops over words.
-Hashes are polynomial (Rabin-Karp) prefix sums modulo 2**64 with an odd base:
-the hash of any span is one subtraction and one multiplication.
+Hashes are polynomials (Rabin-Karp) modulo the prime 2**61 - 1: two different
+words or windows of m parts collide for at most m of its 2**61 bases, whatever
+their structure (modulo 2**64, some words collide for every odd base).
 """
 
 from __future__ import annotations
@@ -12,39 +13,30 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-MASK64 = (1 << 64) - 1
-BYTE_BASE = 0x9E3779B97F4A7C15 | 1
-WORD_BASE = 0xC2B2AE3D27D4EB4F | 1
+#: The modulus, and the bases of words (parts of 7 bytes) and of windows (words).
+PRIME = U64((1 << 61) - 1)
+BYTE_BASE = U64(0x1E3779B97F4A7C15)
+WORD_BASE = U64(0x02B2AE3D27D4EB4F)
+PART = 7
+#: Words of more parts than this are hashed one by one, in a logarithmic number of steps.
+LONG_PARTS = 256
 #: Bytes of text hashed together; bounds the kernels' memory.
 BLOCK_BYTES = 2 << 20
 
 
-def powers(base: int, n: int, inverse: bool = False) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64 (or those of its inverse), by doubling."""
-    b = pow(base, -1, 1 << 64) if inverse else base
-    out = np.ones(max(n, 1), dtype=U64)
-    filled = 1
-    while filled < n:
-        take = min(filled, n - filled)
-        out[filled:filled + take] = out[:take] * U64(pow(b, filled, 1 << 64))
-        filled += take
-    return out[:n]
+def times(a: np.ndarray, b) -> np.ndarray:
+    """a * b modulo PRIME, for numbers below it; by halves of 30 and 31 bits, so that no step leaves 64 bits."""
+    low31, low30, s31, s30, s61 = U64((1 << 31) - 1), U64((1 << 30) - 1), U64(31), U64(30), U64(61)
+    a1, a0, b1, b0 = a >> s31, a & low31, b >> s31, b & low31
+    mid = a1 * b0 + a0 * b1
+    out = ((a1 * b1) << U64(1)) + (mid >> s30) + ((mid & low30) << s31) + a0 * b0
+    out = (out & PRIME) + (out >> s61)
+    return np.minimum(out, out - PRIME)  # below PRIME the difference wraps to a large number
 
 
-class _Powers:
-    """Grows a table of powers and of inverse powers on demand (one per worker)."""
-
-    def __init__(self, base: int):
-        self.base, self.fwd, self.inv = base, powers(base, 1024), powers(base, 1024, True)
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.fwd):
-            m = max(n, 2 * len(self.fwd))
-            self.fwd, self.inv = powers(self.base, m), powers(self.base, m, True)
-        return self.fwd[:n], self.inv[:n]
-
-
-_BYTES, _WORDS = _Powers(BYTE_BASE), _Powers(WORD_BASE)
+def plus(a: np.ndarray, b) -> np.ndarray:
+    out = a + b
+    return np.minimum(out, out - PRIME)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -57,14 +49,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: _Powers) -> np.ndarray:
-    """Rabin-Karp hash of values[start:end] for every span."""
-    fwd, inv = table.get(len(values) + 1)
-    prefix = np.zeros(len(values) + 1, dtype=U64)
-    np.cumsum(values.astype(U64) * fwd[:-1], out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * inv[starts] + (ends - starts).astype(U64))
-
-
 #: The word separators of the contracts: space and \x09-\x0D.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -110,12 +94,24 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def window_hashes(word_hashes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of every `width` consecutive words of the whole buffer (entry i starts at word i)."""
+    """Hash of every `width` consecutive words of the whole buffer (entry i starts at word i).
+
+    Windows of 2, 4, 8, ... words come from two halves, any width from those of its binary digits.
+    """
     n = len(word_hashes) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=U64)
-    at = np.arange(n)
-    return span_hashes(word_hashes, at, at + width, _WORDS)
+    half, size, base = word_hashes % PRIME, 1, np.array([WORD_BASE])
+    out, done = np.zeros(n, dtype=U64), 0
+    while True:
+        if width & size:  # these words stand after the `done` ones
+            out = plus(times(out, base), half[done:done + n])
+            done += size
+        if 2 * size > width:
+            break
+        half = plus(times(half[:-size], base), half[size:])
+        size, base = 2 * size, times(base, base)
+    return mix(plus(times(out, WORD_BASE), U64(width)))
 
 
 def windows_of(first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,8 +122,38 @@ def windows_of(first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(int(counts.sum())) - base[owner] + first[:-1][owner], owner
 
 
+def _long_word(data: np.ndarray) -> int:
+    """The polynomial of one word's parts, folded from neighbours upwards."""
+    padded = np.zeros((-(-len(data) // PART), 8), dtype=np.uint8)
+    whole = np.zeros(len(padded) * PART, dtype=np.uint8)
+    whole[:len(data)] = data
+    padded[:, :PART] = whole.reshape(-1, PART)
+    parts, base = padded.view("<u8").ravel(), np.array([BYTE_BASE])
+    while len(parts) > 1:
+        if len(parts) % 2:  # a leading zero changes nothing
+            parts = np.r_[U64(0), parts]
+        parts, base = plus(times(parts[::2], base), parts[1::2]), times(base, base)
+    return int(parts[0])
+
+
 def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hashes(data, starts, ends, _BYTES)
+    """Hash of data[start:end] for every word: the polynomial of its parts of 7 bytes and of its length."""
+    sizes = ends - starts
+    out = np.zeros(len(starts), dtype=U64)
+    if not len(starts):
+        return out
+    at_each = np.ndarray(len(data) + 1, dtype="<u8", buffer=np.r_[data, np.zeros(8, dtype=np.uint8)], strides=(1,))
+    full = U64((1 << (8 * PART)) - 1)
+    rows = np.flatnonzero(sizes <= PART * LONG_PARTS)
+    first, left = starts[rows], sizes[rows]
+    while len(rows):
+        part = at_each[first] & np.where(left >= PART, full, (U64(1) << (U64(8) * np.minimum(left, PART).astype(U64))) - U64(1))
+        out[rows] = plus(times(out[rows], BYTE_BASE), part)
+        more = left > PART
+        rows, first, left = rows[more], first[more] + PART, left[more] - PART
+    for i in np.flatnonzero(sizes > PART * LONG_PARTS):
+        out[i] = _long_word(data[starts[i]:ends[i]])
+    return mix(plus(times(out, BYTE_BASE), sizes.astype(U64)))
 
 
 def blocks(sizes: np.ndarray, limit: int = BLOCK_BYTES):

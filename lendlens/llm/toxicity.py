@@ -1,10 +1,11 @@
 """Toxicity scores from the nearest labelled examples by exact TF-IDF cosine.
 
-Fit: a bounded, hash-chosen sample of labelled texts gives the examples and
-the vocabulary (the words whose presence depends most on the label, by the
-chi-square statistic); document frequencies are counted over the whole table.
-The examples' vectors stand in a block-max inverted index: postings by term,
-cut into blocks of examples, with each block's largest weight.
+Fit: a bounded, hash-chosen sample of labelled texts gives the examples, and
+all their words the vocabulary; document frequencies are counted over the whole
+table.  How much a word's presence depends on the label (the phi coefficient,
+shrunk) scales its TF-IDF weight; no word is left out, so an example's copy has
+similarity 1.  The examples' vectors stand in a block-max inverted index:
+postings by term, cut into blocks of examples, with each block's largest weight.
 
 Score: the index gives the exact nearest examples of every whole text.  A
 block whose bound (the sum of query weight times block maximum) can't reach
@@ -15,23 +16,26 @@ inverse of their distance; a logistic curve fitted to leave-one-out votes calibr
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.llm import textkernels as K
 from lendlens.llm.common import small_batches, train_row, written
 
-#: The bounds of the fit: labelled examples of each class, and terms of the vocabulary.
-EXAMPLES_PER_CLASS = 4_000
-TERMS = 512
-#: A term needs so many examples, and this chi-square value (a chance of about 10**-8).
-MIN_EXAMPLES = 5
-MIN_CHI2 = 33.0
+#: The bounds of the fit: labelled examples of each class, and their bytes of text together.
+EXAMPLES_PER_CLASS = 1_000
+EXAMPLE_BYTES = 4 << 20
+#: A word weighs idf * (WEIGHT_OF_ANY + phi), where phi is shrunk by what chance gives (CHANCE, a chi-square value).
+WEIGHT_OF_ANY = 0.02
+CHANCE = 10.0
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks opened before the k-th similarity is looked at again.
+OPENED = 4
 #: A neighbour at cosine distance d votes with 1 / (d + NEAREST); the overall rate with PRIOR_WEIGHT.
 NEAREST = 0.05
 PRIOR_WEIGHT = 0.5
@@ -60,6 +64,12 @@ def _known_terms(texts: pa.Array, vocabulary: np.ndarray):
         yield lo, rows, pairs // max(len(vocabulary), 1), pairs % max(len(vocabulary), 1), count
 
 
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges lo[i]:hi[i], one range after the other."""
+    n = hi - lo
+    return np.arange(int(n.sum())) + np.repeat(lo - (np.cumsum(n) - n), n)
+
+
 class BlockMaxIndex:
     """Exact top-k by inner product over sparse unit vectors of non-negative weights."""
 
@@ -72,40 +82,47 @@ class BlockMaxIndex:
         weight = np.concatenate([vectors[i][1] for i in self.order]) if len(vectors) else np.zeros(0)
         place = np.repeat(np.arange(len(vectors)), [len(vectors[i][0]) for i in self.order]) if len(vectors) else np.zeros(0, np.int64)
         by_term = np.lexsort((place, term))
-        self.place, self.weight = place[by_term], weight[by_term]
-        # cut[t * n_blocks + b]: where term t's postings in block b begin.
-        slot = term[by_term] * self.n_blocks + self.place // BLOCK
-        self.cut = np.searchsorted(slot, np.arange(n_terms * self.n_blocks + 1))
-        self.most = np.zeros(n_terms * self.n_blocks)
-        np.maximum.at(self.most, slot, self.weight)
-        self.most = self.most.reshape(n_terms, self.n_blocks)
+        self.place, self.weight, term = place[by_term], weight[by_term], term[by_term]
+        # One entry for each term in each block that has it: its block, largest weight and postings cut[e]:cut[e + 1].
+        block = self.place // BLOCK
+        new = np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])] if len(term) else np.zeros(0, bool)
+        start = np.flatnonzero(new)
+        self.cut = np.r_[start, len(term)]
+        self.block = block[start]
+        self.most = np.maximum.reduceat(self.weight, start) if len(start) else np.zeros(0)
+        self.entries = np.searchsorted(term[start], np.arange(n_terms + 1))
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, similarities) of the k nearest with a positive similarity; ties by example number."""
-        bound = weights @ self.most[terms]
+        lo, hi = self.entries[terms], self.entries[terms + 1]
+        entry, w = _ranges(lo, hi), np.repeat(weights, hi - lo)
+        bound = np.bincount(self.block[entry], w * self.most[entry], self.n_blocks)
         blocks = np.argsort(-bound, kind="stable")
-        found, sims = [np.zeros(0, np.int64)], [np.zeros(0)]
-        least, n = 0.0, 0
-        for b in blocks:
-            if bound[b] <= 0 or (n >= k and bound[b] < least - 1e-9):
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms, weights):
-                lo, hi = self.cut[t * self.n_blocks + b], self.cut[t * self.n_blocks + b + 1]
-                score[self.place[lo:hi] - b * BLOCK] += w * self.weight[lo:hi]
+        blocks = blocks[bound[blocks] > 0]
+        ids, sims, least = np.zeros(0, np.int64), np.zeros(0), 0.0
+        for at in range(0, len(blocks), OPENED):
+            opened = blocks[at:at + OPENED]
+            if len(ids) >= k:
+                opened = opened[bound[opened] >= least - 1e-9]
+                if not len(opened):
+                    break
+            mine = np.isin(self.block[entry], opened)
+            some = entry[mine]
+            begin, end = self.cut[some], self.cut[some + 1]
+            posting = _ranges(begin, end)
+            place = self.place[posting]
+            slot = np.zeros(self.n_blocks, np.int64)
+            slot[opened] = np.arange(len(opened))
+            score = np.bincount(slot[place // BLOCK] * BLOCK + place % BLOCK, np.repeat(w[mine], end - begin) * self.weight[posting],
+                                len(opened) * BLOCK)
             hit = np.flatnonzero(score > 0)
-            ids = self.order[hit + b * BLOCK]
-            hit, ids = hit[ids != without], ids[ids != without]
-            found.append(ids)
-            sims.append(score[hit])
-            n += len(ids)
-            if n >= k:
-                ids, score = np.concatenate(found), np.concatenate(sims)
-                best = np.lexsort((ids, -score))[:k]
-                found, sims, n, least = [ids[best]], [score[best]], len(best), score[best[-1]]
-        ids, score = np.concatenate(found), np.concatenate(sims)
-        best = np.lexsort((ids, -score))[:k]
-        return ids[best], score[best]
+            found = self.order[opened[hit // BLOCK] * BLOCK + hit % BLOCK]
+            hit, found = hit[found != without], found[found != without]
+            ids, sims = np.r_[ids, found], np.r_[sims, score[hit]]
+            best = np.lexsort((ids, -sims))[:k]
+            ids, sims = ids[best], sims[best]
+            least = sims[-1] if len(sims) else 0.0
+        return ids, sims
 
 
 @dataclass
@@ -113,7 +130,7 @@ class Model:
     """All that scoring needs; its size is bounded by the examples and terms."""
 
     vocabulary: np.ndarray
-    idf: np.ndarray
+    term_weight: np.ndarray
     index: BlockMaxIndex
     ids: np.ndarray
     votes: np.ndarray
@@ -138,8 +155,8 @@ def _logit(p):
     return np.log(p / (1 - p))
 
 
-def _unit(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    w = (1 + np.log(counts)) * idf[terms]
+def _unit(terms: np.ndarray, counts: np.ndarray, term_weight: np.ndarray) -> np.ndarray:
+    w = (1 + np.log(counts)) * term_weight[terms]
     return w / np.sqrt((w * w).sum())
 
 
@@ -159,16 +176,16 @@ def _vectors(vocabulary: np.ndarray, names: list[str], text_at: int):
 
 
 def _frequencies(vocabulary: np.ndarray):
-    """Task: one (term, documents) list for each batch; term -1 counts all rows."""
+    """Task: (term, documents) of all its rows; term -1 counts the rows."""
 
     def run(batches):
+        total, rows = np.zeros(len(vocabulary), dtype=np.int64), 0
         for batch in batches:
-            total = np.zeros(len(vocabulary), dtype=np.int64)
+            rows += batch.num_rows
             for _, _, _, term, _ in _known_terms(batch.column(0), vocabulary):
                 total += np.bincount(term, minlength=len(vocabulary))
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[-1, some], pa.int64()), pa.array(np.r_[batch.num_rows, total[some]], pa.int64())], ["term", "docs"])
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some], pa.int64()), pa.array(np.r_[rows, total[some]], pa.int64())], ["term", "docs"])
 
     return run
 
@@ -184,6 +201,32 @@ def _label_terms(batches):
             yield pa.RecordBatch.from_arrays([pa.array(label[lo + owner[new]]), pa.array(hashes[new].view(np.int64))], ["y", "term"])
 
 
+def _examples(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, y, t): of each class the labelled ids of smallest hash, as many as the two bounds of the fit allow.
+
+    A repeated id counts with one of its texts, the one of smallest hash; a text that doesn't fit into what is
+    left of EXAMPLE_BYTES is passed over, but a class keeps its shortest text in any case.
+    """
+    spark = docs.sparkSession
+    rank = F.xxhash64("id")
+    first = [known.where(F.col("y") == y).orderBy(rank, "id").limit(EXAMPLES_PER_CLASS) for y in (0, 1)]  # a few rows from every task
+    chosen = written(first[0].union(first[1]), "labelled")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t IS NOT NULL")
+    sample = written(texts.join(F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t")), "examples")
+    sizes = sample.select("id", "y", F.octet_length("t").alias("size"), rank.alias("h")).collect()  # at most 2 * EXAMPLES_PER_CLASS
+    kept = []
+    for y in (0, 1):
+        mine, left = sorted((r["h"], r["id"], r["size"]) for r in sizes if r["y"] == y), EXAMPLE_BYTES
+        before = len(kept)
+        for _, i, size in mine:
+            if size <= left:
+                kept.append((i, y))
+                left -= size
+        if mine and len(kept) == before:
+            kept.append((min(mine, key=lambda r: (r[2], r[0]))[1], y))
+    return written(sample.join(F.broadcast(spark.createDataFrame(kept, "id long, y long")), ["id", "y"]), "examples")
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learns from labelled rows whose crc32(id) mod 5 isn't 0; an id labelled twice counts by its largest label.
 
@@ -192,45 +235,40 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     small_batches(spark)
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & train_row(id_col))
-             .groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).cast("long").alias("y")))
+             .groupBy(F.col(id_col).cast("long").alias("id")).agg((F.max(label_col) > 0).cast("long").alias("y")))
     sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
-    # The examples are the ids of the smallest hashes. A threshold at twice the share wanted leaves the sort few rows,
-    # however many labels there are.
-    most = {y: min((1 << 63) - 1, int(min(1.0, 2 * EXAMPLES_PER_CLASS / n) * 2 ** 64) - (1 << 63)) for y, n in sizes.items()}
-    near = F.xxhash64("id") <= F.when(F.col("y") == 1, F.lit(most.get(1, 0))).otherwise(F.lit(most.get(0, 0)))
-    first = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")
-    chosen = known.where(near).withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= EXAMPLES_PER_CLASS).select("id", "y")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t IS NOT NULL")
-    # At most EXAMPLES_PER_CLASS ids of each class.
-    sample = written(texts.join(F.broadcast(chosen), "id").select("id", "y", "t"), "examples")
+    sample = _examples(docs, known, id_col, text_col)
     used = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     n1, n0 = used.get(1, 0), used.get(0, 0)
+    # Distinct words of the examples: no more than EXAMPLE_BYTES allows.
     by_term = sample.select("y", "t").mapInArrow(_label_terms, "y long, term long").groupBy("term").agg(
-        F.sum("y").cast("double").alias("a"), F.count("*").cast("double").alias("n"))
-    total = float(max(n1 + n0, 1))
-    expected = F.col("n") * n1 / total
-    chi2 = (F.pow(F.col("a") - expected, 2) * total / (expected * (total - F.col("n")) * max(n0, 1) / total + F.lit(1e-12)))
-    terms = (by_term.where(F.col("n") >= MIN_EXAMPLES).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
-             .orderBy(F.desc("chi2"), "term").limit(TERMS).select("term").collect()) if n1 and n0 else []
-    vocabulary = np.sort(np.array([r["term"] for r in terms], dtype=np.int64).view(K.U64))
+        F.sum("y").cast("double").alias("a"), F.count("*").cast("double").alias("n")).toArrow()
+    term, a, n = (by_term[c].to_numpy() for c in ("term", "a", "n"))
+    order = np.argsort(term.view(K.U64))
+    vocabulary, a, n = term.view(K.U64)[order], a[order], n[order]
+    total, expected = float(max(n1 + n0, 1)), n * n1 / max(n1 + n0, 1)
+    chi2 = (a - expected) ** 2 * total / (expected * (total - n) * n0 / total + 1e-12) if n1 and n0 else np.zeros(len(n))
+    phi = np.sqrt(np.maximum(chi2 - CHANCE, 0) / total)
 
     counted = docs.select(F.col(text_col).alias("t")).mapInArrow(_frequencies(vocabulary), "term long, docs long")
-    freq = {r["term"]: r["docs"] for r in counted.groupBy("term").agg(F.sum("docs").alias("docs")).collect()}
-    idf = np.array([np.log((1 + freq.get(-1, 0)) / (1 + freq.get(k, 0))) + 1 for k in range(len(vocabulary))])
+    counted = counted.groupBy("term").agg(F.sum("docs").alias("docs")).toArrow()
+    freq = np.zeros(len(vocabulary) + 1)
+    freq[counted["term"].to_numpy()] = counted["docs"].to_numpy()  # term -1, all rows, stands last
+    term_weight = (np.log((1 + freq[-1]) / (1 + freq[:-1])) + 1) * (WEIGHT_OF_ANY + phi)
 
     rows = sample.mapInArrow(_vectors(vocabulary, ["id", "y"], 2), "id long, y long, terms array<long>, counts array<long>").collect()
     rows = sorted(rows, key=lambda r: (r["id"], r["y"], r["terms"], r["counts"]))
     # Every class weighs what it weighs among all labelled rows, however it was sampled.
     class_weight = {y: sizes[y] / used[y] for y in used}
     told = [r for r in rows if r["terms"]]
-    vectors = [(np.array(r["terms"]), _unit(np.array(r["terms"]), np.array(r["counts"]), idf)) for r in told]
+    vectors = [(np.array(r["terms"]), _unit(np.array(r["terms"]), np.array(r["counts"]), term_weight)) for r in told]
     y = np.array([r["y"] for r in told], dtype=np.float64)
     w = np.array([class_weight[r["y"]] for r in told])
     mute = [(r["y"], class_weight[r["y"]]) for r in rows if not r["terms"]]
     all_w = sum(class_weight[r["y"]] for r in rows)
     rate = sum(r["y"] * class_weight[r["y"]] for r in rows) / all_w if rows else 0.0
     unknown = (sum(a * b for a, b in mute) + rate) / (sum(b for _, b in mute) + 1) if rows else 0.0
-    model = Model(vocabulary, idf, BlockMaxIndex(vectors, len(vocabulary)), np.array([r["id"] for r in told], dtype=np.int64),
+    model = Model(vocabulary, term_weight, BlockMaxIndex(vectors, len(vocabulary)), np.array([r["id"] for r in told], dtype=np.int64),
                   y, w, rate, unknown, (1.0, 0.0))
     if told:
         model.curve = _calibrate(spark, model, vectors, y, w)
@@ -269,7 +307,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
     """The columns `keep` of `docs` (all by default) plus score, predicted and evidence.
 
     evidence lists the nearest examples as (id, label, similarity).  Null and
-    empty texts, and those without a word of the vocabulary, have no neighbours
+    empty texts, and those without a word of any example, have no neighbours
     and get the rate of such examples.  Columns named like the new ones are
     replaced; an empty table gives an empty result.
     """
@@ -294,10 +332,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
                     if lo == hi:
                         found = m.rate_unknown, []
                     else:
-                        key = term[lo:hi].tobytes() + count[lo:hi].tobytes()
+                        key = blake2b(term[lo:hi].tobytes() + count[lo:hi].tobytes(), digest_size=16).digest()
                         found = seen.get(key)
                         if found is None:
-                            vote, near, sims = m.vote(term[lo:hi], _unit(term[lo:hi], count[lo:hi], m.idf))
+                            vote, near, sims = m.vote(term[lo:hi], _unit(term[lo:hi], count[lo:hi], m.term_weight))
                             found = m.calibrated(vote), [
                                 {"id": int(m.ids[i]), "label": int(m.votes[i]), "similarity": float(s)} for i, s in zip(near, sims)]
                             if len(seen) >= REMEMBERED:

@@ -188,3 +188,67 @@ def resampling(docs, target, buckets=10000, share=(5, 100), min_words=20, seed=4
     for place, k in enumerate(order[:share[0] * len(order) // share[1]], 1):
         rows[k][4] = place
     return [tuple(r) for r in rows]
+
+
+def toxicity(docs, labels, neighbours=15, any_weight=0.02, chance=10.0, nearest=0.05, prior=0.5):
+    """docs: (id, text) with distinct ids, labels: {id: 0 or 1}, all of them examples. {id: (score, [(example id, similarity)])}."""
+    import math
+    import zlib
+    from collections import Counter
+    word = re.compile("[A-Za-z\u0080-\U0010ffff]+")
+    bags = {i: Counter("".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in word.findall(t or "")) for i, t in docs}
+    known = {i: y for i, y in labels.items() if zlib.crc32(str(i).encode()) % 5}
+    train = sorted(i for i, t in docs if i in known and t is not None)
+    total, n1 = len(train), sum(known[i] for i in train)
+    seen = Counter(w for i in train for w in bags[i])
+    toxic = Counter(w for i in train if known[i] for w in bags[i])
+    df = Counter(w for b in bags.values() for w in b)
+    weight = {}
+    for w, n in seen.items():
+        e = n * n1 / total
+        chi2 = (toxic[w] - e) ** 2 * total / (e * (total - n) * (total - n1) / total + 1e-12)
+        weight[w] = (math.log((1 + len(docs)) / (1 + df[w])) + 1) * (any_weight + math.sqrt(max(chi2 - chance, 0) / total))
+
+    def unit(bag):
+        v = {w: (1 + math.log(c)) * weight[w] for w, c in bag.items() if w in weight}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / size for w, x in v.items()}
+
+    vectors = {i: unit(bags[i]) for i in train}
+    of_class = {y: sum(v == y for v in known.values()) / max(1, sum(known[i] == y for i in train)) for y in (0, 1)}
+    importance = {i: of_class[known[i]] for i in train}
+    told = [i for i in train if vectors[i]]
+    rate = sum(known[i] * importance[i] for i in train) / sum(importance[i] for i in train)
+    mute = [i for i in train if not vectors[i]]
+    unknown = (sum(known[i] * importance[i] for i in mute) + rate) / (sum(importance[i] for i in mute) + 1)
+
+    def vote(v, without=None):
+        sims = {j: sum(x * vectors[j].get(w, 0) for w, x in v.items()) for j in told if j != without}
+        near = sorted((j for j in sims if sims[j] > 0), key=lambda j: (-sims[j], j))[:neighbours]
+        w = {j: importance[j] / (1 - min(sims[j], 1) + nearest) for j in near}
+        scale = prior * sum(importance[j] for j in told) / len(told)
+        return (sum(w[j] * known[j] for j in near) + scale * rate) / (sum(w.values()) + scale), [(j, sims[j]) for j in near]
+
+    def logit(p):
+        p = min(max(p, 1e-4), 1 - 1e-4)
+        return math.log(p / (1 - p))
+
+    x = [logit(vote(vectors[i], i)[0]) for i in told]
+    iw, y = [importance[i] for i in told], [known[i] for i in told]
+    a, b, whole = 1.0, 0.0, sum(iw)
+    for _ in range(50):  # Newton steps of the weighted logistic loss, drawn to the identity
+        p = [1 / (1 + math.exp(-(a * v + b))) for v in x]
+        ga = sum(w * (q - t) * v for w, q, t, v in zip(iw, p, y, x)) + 1e-3 * (a - 1) * whole
+        gb = sum(w * (q - t) for w, q, t in zip(iw, p, y)) + 1e-3 * b * whole
+        s = [w * q * (1 - q) for w, q in zip(iw, p)]
+        haa, hab = sum(k * v * v for k, v in zip(s, x)) + 1e-3 * whole, sum(k * v for k, v in zip(s, x))
+        hbb = sum(s) + 1e-3 * whole
+        det = haa * hbb - hab * hab
+        a, b = a - (hbb * ga - hab * gb) / det, b - (haa * gb - hab * ga) / det
+    a = max(a, 0.0)
+    out = {}
+    for i, _ in docs:
+        v = unit(bags[i]) if any(w in weight for w in bags[i]) else {}
+        p, near = vote(v) if v else (None, [])
+        out[i] = (1 / (1 + math.exp(-(a * logit(p) + b))) if v else unknown, near)
+    return out

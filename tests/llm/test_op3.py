@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lendlens.llm import toxicity as X
 from lendlens.llm.queries import QUERIES
+from tests.llm import brute
 from tests.llm.conftest import EDGE_TEXTS
 
 SF = "/root/testdata/sf0.1"
@@ -58,8 +59,46 @@ def test_edges_and_evidence(spark, make_docs):
     assert len(rows) == docs.count()
     for r in rows:
         foul = "foul" in (r["text"] or "")
-        assert r["predicted"] == int(foul) and bool(r["evidence"]) == foul
-        assert all(e["label"] == 1 and e["id"] % 4 == 0 and zlib.crc32(str(e["id"]).encode()) % 5 for e in r["evidence"])
+        assert r["predicted"] == int(foul)
+        assert all(e["label"] == int(e["id"] % 4 == 0) and zlib.crc32(str(e["id"]).encode()) % 5 for e in r["evidence"])
+        assert not foul or {e["label"] for e in r["evidence"]} == {1}
+        assert r["evidence"] or not {"you", "foul", "thing", "some", "words", "here", "and", "there"} & set((r["text"] or "").split())
+
+
+def test_query_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    want = brute.toxicity(docs, labels)
+    rows = QUERIES["op3_toxicity"](spark, folder).collect()
+    assert len(rows) == len(want) and {r["predicted"] for r in rows} == {0, 1}
+    for r in rows:
+        score, near = want[r["doc_id"]]
+        assert abs(r["score"] - score) < 1e-9 and r["predicted"] == int(score >= 0.5)
+        # Neighbours of the same similarity may differ in its last digits.
+        assert np.allclose([e["similarity"] for e in r["evidence"]], [s for _, s in near])
+        sure = {i for i, s in near if s > near[-1][1] + 1e-9}
+        assert sure <= {e["id"] for e in r["evidence"]}
+
+
+def test_a_copy_of_an_example_finds_it(spark, make_docs):
+    docs, labels = tables(spark, make_docs)
+    odd = "quite unlike what others write, never seen"
+    more = make_docs([(2001, odd), (2002, odd), (2003, odd + " " + odd)]).withColumn("id", F.lit(1)).withColumn("y", F.lit("y")).withColumn("score", F.lit("z"))
+    labels = labels.union(spark.createDataFrame([(2001, 1, "e")], LABELS))
+    assert zlib.crc32(b"2001") % 5
+    docs = docs.unionByName(more)
+    for r in X.score(docs, X.fit(docs, labels)).where("doc_id > 2000").collect():
+        assert r["predicted"] == 1 and r["evidence"][0]["id"] == 2001 and abs(r["evidence"][0]["similarity"] - 1) < 1e-9
+
+
+def test_bounds_of_the_fit(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(X, "EXAMPLES_PER_CLASS", 7)
+    docs, labels = tables(spark, make_docs)
+    assert len(X.fit(docs, labels).ids) == 13  # seven of each label, one of them without a text
+    monkeypatch.setattr(X, "EXAMPLE_BYTES", 1)
+    model = X.fit(docs, labels)
+    assert len(model.ids) == 2 and sorted(model.votes) == [0, 1]
 
 
 def test_held_out_labels_are_not_used(spark, make_docs):
