@@ -1,17 +1,18 @@
 """Substring deduplication by Rabin-Karp window hashes.
 
 Every window of `width` consecutive words of every text is hashed.  Tasks
-first collapse equal windows within a block of documents (a passage that
-fills a third of the corpus leaves one entry per block), then ship packed
-hashes to buckets cut by the hash's leading bits, so that a bucket stays at
-about `windows_per_bucket` entries at any corpus size.  A bucket finds the
-smallest document of each window; the windows of later documents go back to
-their documents as lists of hashes.  There repeated windows merge into maximal
-removal intervals.
-
-A window's identity is its bucket plus 56 bits of its hash (64 bits at most):
-among n distinct windows about n / 2**62 are taken for repeats by accident
-(at 10**8 windows: none; at 3 * 10**13 windows: two in a million).
+first collapse equal windows within a block of documents: the block's smallest
+document of a window ships it to a bucket cut by the hash's leading bits, so
+that a bucket stays at about `windows_per_bucket` entries at any corpus size
+and a passage that fills a third of the corpus leaves one entry per block.  The
+block's other documents already know that a smaller one has the window; they
+ship it to their own group of documents.  A bucket finds the smallest document
+of each window; the windows of later documents go back to their documents as
+lists of hashes.  There repeated windows merge into maximal removal intervals.
+
+A window's identity is its bucket plus 56 bits of its hash, which has 61: a
+window is taken for one of n other windows by accident with a chance of about
+n / 2**61 (10**9 other windows: 4 in 10**10).
 """
 
 from __future__ import annotations
@@ -76,8 +77,11 @@ def _unpacked_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
-def _window_rows(width: int, buckets: int):
-    """Task: documents to packed window hashes by bucket; equal windows of a block are collapsed."""
+def _window_rows(width: int, buckets: int, groups: int):
+    """Task: documents to packed window hashes by bucket; equal windows of a block are collapsed.
+
+    Repeats within the block go to their documents' group, numbered from `buckets` on.
+    """
 
     def of_block(ids: np.ndarray, texts: pa.Array):
         order = np.argsort(ids, kind="stable")
@@ -91,17 +95,18 @@ def _window_rows(width: int, buckets: int):
         keep[lead] = 1
         follows = by_hash[~new]
         keep[follows[ids[follows] > ids[lead][np.cumsum(new)[~new] - 1]]] = 2
-        bucket = ((hashes >> K.U64(32)) * K.U64(buckets) >> K.U64(32)).astype(np.int32)
+        bucket = ((hashes >> K.U64(32)) * K.U64(buckets) >> K.U64(32)).astype(np.int64)
         for kind in (1, 2):
             chosen = np.flatnonzero(keep == kind)
-            chosen = chosen[np.argsort(bucket[chosen], kind="stable")]
-            edges = np.searchsorted(bucket[chosen], np.arange(buckets + 1))
-            filled = np.flatnonzero(np.diff(edges))
-            if not len(filled):
+            place = bucket[chosen] if kind == 1 else buckets + np.mod(ids[chosen], groups)
+            order = np.argsort(place, kind="stable")
+            chosen, place = chosen[order], place[order]
+            edges = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(place) else np.zeros(0, dtype=np.int64)
+            if not len(edges):
                 continue
-            rows = [_packed(hashes[c], ids[c]) for c in (chosen[edges[b]:edges[b + 1]] for b in filled)]
+            rows = [_packed(hashes[c], ids[c]) for c in np.split(chosen, edges[1:])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(filled, pa.int32()), pa.array([kind] * len(filled), pa.int32()),
+                [pa.array(place[edges], pa.int64()), pa.array([kind] * len(edges), pa.int32()),
                  *(pa.array(col, pa.binary()) for col in zip(*rows))], ["bucket", "kind", "ids", "counts", "hashes"])
 
     def run(batches):
@@ -123,7 +128,10 @@ def _window_rows(width: int, buckets: int):
 
 
 def _verdict_rows(groups: int):
-    """Group task: the windows of one bucket to those that a smaller document also has, by document group."""
+    """Group task: the windows of one bucket to those that a smaller document also has, by document group.
+
+    The repeats that blocks found for one document group come as a bucket of their own and pass.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         kinds = np.array(table["kind"].to_pylist(), dtype=np.int32)
@@ -209,10 +217,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size = narrow.agg(F.sum(F.octet_length("t")).alias("b")).first()["b"] or 0
     buckets = 1 + int(size // 6 // WINDOWS_PER_BUCKET)
     groups = _prime_from(1 + int(size // BYTES_PER_GROUP))
-    rows = narrow.mapInArrow(_window_rows(width, buckets), f"bucket int, kind int, {PACKED}")
+    rows = narrow.mapInArrow(_window_rows(width, buckets, groups), f"bucket long, kind int, {PACKED}")
     verdicts = rows.groupBy("bucket").applyInArrow(_verdict_rows(groups), f"grp long, {PACKED}")
     grp = "__grp"
-    keyed = docs.withColumn(grp, F.coalesce(F.pmod(F.col(id_col).cast("long"), F.lit(groups)), F.lit(0)).cast("long"))
+    # Rows without an id wait for no verdicts: any group will do, so they are spread by their text.
+    keyed = docs.withColumn(grp, F.pmod(F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)), F.lit(groups)).cast("long"))
     names = docs.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 

@@ -7,6 +7,7 @@ from lendlens.llm.queries import QUERIES
 from tests.conftest import SMOKE_DIR
 from tests.llm import brute
 from tests.llm.conftest import EDGE_TEXTS
+from tests.llm.test_textkernels import thue_morse
 
 
 def check(spark, docs, rows):
@@ -56,3 +57,31 @@ def test_many_buckets(spark, make_docs, monkeypatch):
     rows = [(k, " ".join(rng.choice("ab") for _ in range(rng.randrange(60)))) for k in range(120)]
     rows += [(200 + k, rows[k][1] + " tail " + rows[k + 1][1]) for k in range(40)]
     check(spark, make_docs(rows), rows)
+
+
+def test_structured_words_are_told_apart(spark, make_docs):
+    a, b = thue_morse(10)
+    around = [f"p{k}" for k in range(12)]
+    rows = [(1, " ".join([*around, a])), (2, " ".join([*around, b]))]
+    check(spark, make_docs(rows), rows)
+
+
+def entries_by_key(copies):
+    """Windows that each key of the first shuffle gets, for so many documents that share a passage."""
+    import numpy as np
+    import pyarrow as pa
+    passage = " ".join(f"p{k}" for k in range(13))
+    texts = pa.array([f"{passage} " + " ".join(f"{k}.{j}" for j in range(20)) for k in range(copies)])
+    groups = S._prime_from(1 + copies // 10)
+    out = {}
+    for batch in S._window_rows(13, 1 + copies // 50, groups)(iter([pa.RecordBatch.from_arrays([pa.array(range(copies)), texts], ["i", "t"])])):
+        for key, counts in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
+            out[key] = out.get(key, 0) + int(np.frombuffer(counts, dtype="<u4").sum())
+    return out
+
+
+def test_a_common_window_fills_no_key():
+    for copies in (1000, 4000):
+        sizes = entries_by_key(copies)
+        assert max(sizes.values()) <= 4 * 50 * 21  # windows of the documents that one key stands for
+        assert sum(sizes.values()) == 21 * copies
