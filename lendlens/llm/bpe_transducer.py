@@ -26,26 +26,34 @@ import unicodedata
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lendlens.llm.common import WORD, small_batches
+from lendlens.llm.common import BLANK, WORD, small_batches
 from lendlens.llm.token_counts import byte_letters
 
 VOCABULARY = "word_bpe_49k.json"
-#: Fixed value: the pattern of the vocabulary's pre-tokens; and what it finds in lower-cased printable ASCII without a space.
+#: Fixed value: the pattern of the vocabulary's pre-tokens.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-ASCII_PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
+#: Stretches of printable ASCII and Latin letters up to U+017F are their own normal form (but for case, and the dotted I);
+#: what the pattern finds in them, lower-cased.
+LATIN = r"[!-~À-ÖØ-öø-įı-ſ]+"
+LATIN_PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ]+"
 #: Symbols that the encoder reads between two merges of its buffer.
 STEP = 128
 #: Characters of an unspaced stretch that are normalised and split at a time.
 PART_CHARS = 4096
-#: Stretches (up to so many characters) whose ids a worker remembers.
-REMEMBERED, REMEMBERED_CHARS = 300_000, 48
+#: Characters whose stretches are looked up together; stretches and pre-tokens (up to so many characters) whose ids a
+#: worker remembers, twice as many while an older set is being replaced.
+SPAN_CHARS = 1 << 16
+REMEMBERED, REMEMBERED_CHARS = 200_000, 48
 
 
 def lookahead(merges: list[tuple[str, str]], suffix: str = "") -> int:
@@ -78,6 +86,24 @@ def lookahead(merges: list[tuple[str, str]], suffix: str = "") -> int:
     return longest
 
 
+class Remembered:
+    """A bounded memory of results: when the new set is full it becomes the older one, from which what is used again returns."""
+
+    def __init__(self):
+        self.new: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
+
+    def keep(self, key: str, value: tuple[int, ...]) -> tuple[int, ...]:
+        if len(self.new) >= REMEMBERED:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+        return value
+
+    def older(self, key: str) -> tuple[int, ...] | None:
+        value = self.old.get(key)
+        return None if value is None else self.keep(key, value)
+
+
 class Encoder:
     """Encodes texts under a vocabulary whose words end in a suffix and whose white space is dropped.
 
@@ -94,63 +120,71 @@ class Encoder:
                 or [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])] != ["NFC", "Replace", "Lowercase"] \
                 or any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec.get("added_tokens", [])):
             raise ValueError("only byte-level BPE over NFC lower-cased words without white space is encoded here")
-        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         self.suffix = model.get("end_of_word_suffix") or ""
-        self.ahead = lookahead(merges, self.suffix) if ahead is None else ahead
-        self.rank = {m: k for k, m in enumerate(merges)}
-        self.vocab = model["vocab"]
+        self.learn([tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]], model["vocab"], ahead)
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.special_split = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") \
             if self.special else None
         whole = Tokenizer.from_str(vocabulary)
         self.normalise, self.split = whole.normalizer.normalize_str, whole.pre_tokenizer.pre_tokenize_str
-        self.word = re.compile(WORD)
-        self.plain = regex.compile(ASCII_PRE_TOKEN) if steps[0].get("pattern", {}).get("Regex") == PRE_TOKEN else None
-        self.known: dict[str, tuple[int, ...]] = {}  # ids of stretches and of pre-tokens
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.held: list[str] = []  # symbols of the open word that are not part of an emitted token
+        self.word, self.gap = re.compile(WORD), re.compile(BLANK)
+        self.latin = re.compile(LATIN) if steps[0].get("pattern", {}).get("Regex") == PRE_TOKEN else None
+        self.latin_pieces, self.letters = re.compile(LATIN_PRE_TOKEN), byte_letters()
+        self.stretches, self.pieces = Remembered(), Remembered()
+
+    def learn(self, merges: list[tuple[str, str]], vocab: dict[str, int], ahead: int | None = None) -> None:
+        """Tables of the merges by numbers of tokens: a pair's rank, the token that each merge makes, and sizes in symbols."""
+        self.ahead = lookahead(merges, self.suffix) if ahead is None else ahead
+        self.vocab, self.none = vocab, len(merges)
+        self.rank = {vocab[a] << 32 | vocab[b]: k for k, (a, b) in enumerate(merges)}
+        self.made = [vocab[a + b] for a, b in merges]
+        self.size = {i: len(t.removesuffix(self.suffix) if self.suffix else t) for t, i in vocab.items()}
+        self.held: list[int] = []  # symbols of the open word that are not part of an emitted token
+        self.last = ""
         self.most_held = 0
 
-    def merge(self, symbols: list[str]) -> list[str]:
+    def merge(self, symbols: list[int]) -> list[int]:
         """The tokens of a word's symbols: the merge of lowest rank first, the leftmost of equal ones."""
-        parts, rank, none = list(symbols), self.rank.get, len(self.rank)
-        ranks = [rank(pair, none) for pair in zip(parts, parts[1:])]
+        parts, rank, none, made = list(symbols), self.rank.get, self.none, self.made
+        ranks = [rank(a << 32 | b, none) for a, b in zip(parts, parts[1:])]
         while ranks and (least := min(ranks)) < none:
             i = ranks.index(least)
-            parts[i] += parts.pop(i + 1)
-            del ranks[i]
+            parts[i] = made[least]
+            del parts[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = rank((parts[i], parts[i + 1]), none)
+                ranks[i] = rank(parts[i] << 32 | parts[i + 1], none)
             if i:
-                ranks[i - 1] = rank((parts[i - 1], parts[i]), none)
+                ranks[i - 1] = rank(parts[i - 1] << 32 | parts[i], none)
         return parts
 
     def feed(self, symbols: str) -> list[int]:
         """Reads symbols of the open word; the ids of the tokens that no continuation can change."""
-        out = []
+        out: list[int] = []
         for lo in range(0, len(symbols), STEP):
-            self.held += symbols[lo:lo + STEP]
-            self.most_held = max(self.most_held, len(self.held))
-            # The last symbol may yet turn out to end the word, which makes it another symbol.
-            certain = len(self.held) - 1
+            part = symbols[lo:lo + STEP]
+            # The last symbol is held back: it may turn out to end the word, which makes it another symbol.
+            self.held += [self.vocab[c] for c in self.last + part[:-1]]
+            self.last = part[-1]
+            self.most_held = max(self.most_held, len(self.held) + 1)
+            certain = len(self.held)
             if certain <= self.ahead:
                 continue
             done = 0
-            for token in self.merge(self.held[:certain]):
-                if done + len(token) > certain - self.ahead:
+            for token in self.merge(self.held):
+                if done + self.size[token] > certain - self.ahead:
                     break
-                done += len(token)
-                out.append(self.vocab[token])
+                done += self.size[token]
+                out.append(token)
             del self.held[:done]
         return out
 
     def finish(self) -> list[int]:
         """Ends the open word; the ids that were still held."""
-        if not self.held:
+        if not self.last:
             return []
-        symbols, self.held = self.held, []
-        symbols[-1] += self.suffix
-        return [self.vocab[t] for t in self.merge(symbols)]
+        symbols = [*self.held, self.vocab[self.last + self.suffix]]
+        self.held, self.last = [], ""
+        return self.merge(symbols)
 
     def _stretch(self, text: str) -> Iterable[int]:
         """Ids of a text without ASCII white space."""
@@ -164,37 +198,44 @@ class Encoder:
 
     def _short(self, stretch: str) -> tuple[int, ...]:
         """Ids of a stretch that fits into one part, by its pre-tokens."""
-        if self.plain and stretch.isascii() and stretch.isprintable():  # each character is its own symbol
-            pieces = self.plain.findall(stretch.lower())
+        ids = self.stretches.older(stretch)
+        if ids is not None:
+            return ids
+        if self.latin and self.latin.fullmatch(stretch):
+            pieces = self.latin_pieces.findall(stretch.lower())
+            if not stretch.isascii():  # an ASCII character is its own symbol
+                pieces = [p.encode().decode("latin-1").translate(self.letters) for p in pieces]
         else:
             pieces = [symbols for symbols, _ in self.split(self.normalise(stretch))]
         out = ()
         for symbols in pieces:
-            ids = self.pieces.get(symbols)
-            if ids is None:
-                if len(self.pieces) >= REMEMBERED:
-                    self.pieces.clear()
-                ids = self.pieces[symbols] = (*self.feed(symbols), *self.finish())
+            ids = self.pieces.new.get(symbols)
+            if ids is None and (ids := self.pieces.older(symbols)) is None:
+                ids = self.pieces.keep(symbols, (*self.feed(symbols), *self.finish()))
             out += ids
-        return out
+        return self.stretches.keep(stretch, out)
+
+    def _spans(self, text: str) -> Iterator[str]:
+        """The text in parts of about SPAN_CHARS, cut at white space."""
+        at = 0
+        while len(text) - at > SPAN_CHARS and (cut := self.gap.search(text, at + SPAN_CHARS)):
+            yield text[at:cut.start()]
+            at = cut.end()
+        yield text[at:] if at else text
 
     def encode(self, text: str) -> Iterator[Iterable[int]]:
-        """The ids of a text, a stretch between white space after the other."""
+        """The ids of a text, part by part."""
         for piece in self.special_split.split(text) if self.special_split else [text]:
             if piece in self.special:
                 yield (self.special[piece],)
                 continue
-            for stretch in self.word.finditer(piece):
-                stretch = stretch[0]
-                if len(stretch) > REMEMBERED_CHARS:
-                    yield self._stretch(stretch)
-                    continue
-                ids = self.known.get(stretch)
-                if ids is None:
-                    if len(self.known) >= REMEMBERED:
-                        self.known.clear()
-                    ids = self.known[stretch] = self._short(stretch)
-                yield ids
+            for span in self._spans(piece):
+                words = self.word.findall(span)
+                found = map(self.stretches.new.get, words)
+                yield chain.from_iterable([ids if ids is not None else self._ids(word) for word, ids in zip(words, found)])
+
+    def _ids(self, stretch: str) -> Iterable[int]:
+        return self._short(stretch) if len(stretch) <= REMEMBERED_CHARS else list(self._stretch(stretch))
 
 
 _COMPOSING: set[str] = set()
@@ -270,7 +311,10 @@ class Decoder:
 
     def feed(self, ids: Iterable[int]) -> str:
         """The text that is complete after these ids."""
-        found = self.between.join(p for p in map(self.pieces.get, ids) if p is not None)
+        found = list(map(self.pieces.get, ids))
+        if None in found:
+            found = [p for p in found if p is not None]
+        found = self.between.join(found)
         if self.begun and found:
             found = self.between + found
         self.begun = self.begun or bool(found)
@@ -345,7 +389,10 @@ def decode_ids(rows: DataFrame, vocabulary: str, ids_col: str = "ids", decoded_c
     def run(batches):
         decoder = _once(key, lambda: Decoder(shared.value, style))
         for batch in batches:
-            texts = [decoder.feed(ids.as_py() or ()) + decoder.finish() for ids in batch.column(at)]
+            column = batch.column(at)
+            ids = pc.fill_null(column.flatten(), -1).to_numpy(zero_copy_only=False).tolist()
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)).tolist()
+            texts = [decoder.feed(ids[lo:hi]) + decoder.finish() for lo, hi in zip([0, *ends], ends)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, decoded_col])
 
     return rows.mapInArrow(run, f"{fields}, `{decoded_col}` string")

@@ -103,8 +103,11 @@ def test_lookahead_is_sufficient_and_not_idle():
                 merges.append(pair)
                 tokens.append("".join(pair))
         encoder = B.Encoder.__new__(B.Encoder)
-        encoder.rank, ahead = {m: k for k, m in enumerate(merges)}, B.lookahead(merges)
-        whole = {w: encoder.merge(list(w)) for n in range(1, 8) for w in map("".join, product("abc", repeat=n))}
+        encoder.suffix = ""
+        encoder.learn(merges, {t: k for k, t in enumerate(tokens)})
+        ahead = encoder.ahead
+        whole = {w: [tokens[i] for i in encoder.merge([tokens.index(c) for c in w])]
+                 for n in range(1, 8) for w in map("".join, product("abc", repeat=n))}
         for word, tokens_of in whole.items():
             for n in range(1, len(word)):
                 ends = {sum(map(len, whole[word[:n]][:k])) for k in range(1, len(whole[word[:n]]) + 1)}
