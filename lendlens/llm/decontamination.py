@@ -5,8 +5,11 @@ names (capitalised words inside a sentence) are typed placeholders; all other
 words stand for themselves, lower-cased.  Windows of `WIDTH` tokens are hashed
 and joined with the benchmark's.  Aligned windows must fill the benchmark's
 slots consistently: each slot value of the item has one value in the
-document.  A verbatim copy and a re-parameterised question both pass, while a
-chance match of templates doesn't cover enough of an item.
+document.  That holds within an alignment (windows at one distance from the
+item's) and between the alignments that count together: the largest alignment
+that has a slot value says what stands for it, and alignments that say
+otherwise don't count.  A verbatim copy and a re-parameterised question both
+pass, while a chance match of templates doesn't cover enough of an item.
 
 Windows with few plain words would match by chance.  They are compared word
 by word, with the values of their slots, and count for items that templates
@@ -37,7 +40,11 @@ BITMAP_BITS = 1 << 24
 #: Units that are placeholders when a number stands before them.
 UNITS = ("km m cm mm mi mile miles ft feet foot inch inches yard yards kg g mg lb lbs pound pounds ounce ounces ton tons "
          "l ml liter liters litre litres s sec second seconds min minute minutes h hr hour hours day days week weeks month months "
-         "year years dollar dollars cent cents euro euros percent degree degrees mph kmh kw kwh mb gb tb").split()
+         "year years dollar dollars cent cents euro euros percent degree degrees mph kmh kw kwh mb gb tb "
+         "heure heures jour jours semaine semaines mois an ans année années seconde secondes mètre mètres litres gramme grammes degré degrés "
+         "stunde stunden tag tage tagen woche wochen monat monate monaten jahr jahre jahren minuten sekunde sekunden meile meilen grad prozent "
+         "hora horas día días semana semanas mes meses año años minuto minutos segundo segundos metro metros milla millas litro litros "
+         "gramo gramos kilo kilos grado grados dólar dólares céntimo céntimos euros").split()
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -212,15 +219,11 @@ def _bitmap(items: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def _distinct(places: str):
-    return F.size(F.array_distinct(F.flatten(F.collect_set(places)))).cast("long")
-
-
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
     """(id, item, matched_windows, item_windows, share, reparameterised) of each document that holds enough of an item.
 
-    share is the part of the item's windows found with consistent slots;
+    share is the part of the item's windows found in alignments with consistent slots;
     windows with too few plain words are found verbatim only, and counted
     where the others don't reach the share.  reparameterised says that some
     slot has another value than the item's.
@@ -239,15 +242,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     windows = narrow.mapInArrow(_document_rows(widths, bitmap), "id long, key long, at long, slots array<long>")
     met = windows.join(items.drop("width"), "key").where(F.size("slots") == F.size("item_slots"))
     # One alignment: the same distance between the places in the document and in the item.
-    one = met.groupBy("id", "item", (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.max("windows").alias("windows"), F.collect_set("item_at").alias("places"),
-        F.collect_set(F.when(~F.col("verbatim"), F.col("item_at"))).alias("template_places"),
-        F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("item_slots", "slots")))).alias("pairs"))
-    one = one.where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p.item_slots))))
-    other = F.exists("pairs", lambda p: p.item_slots != p.slots)
-    found = one.groupBy("id", "item").agg(
-        F.max("windows").alias("item_windows"), _distinct("template_places").alias("by_template"), _distinct("places").alias("by_any"),
-        F.min(F.when(F.size("template_places") > 0, other)).alias("template_other"), F.min(other).alias("any_other"))
+    here = ["id", "item", "shift"]
+    met = written(met.withColumn("shift", F.col("at") - F.col("item_at")), "met")
+    template_at = F.when(~F.col("verbatim"), F.col("item_at"))
+    alignments = met.groupBy(*here).agg(F.count_distinct(template_at).alias("n"))
+    pairs = met.select(*here, F.explode(F.arrays_zip("item_slots", "slots")).alias("p")).groupBy(
+        *here, F.col("p.item_slots").alias("slot")).agg(F.min("p.slots").alias("value"), F.max("p.slots").alias("most"))
+    torn = pairs.where("value <> most").select(*here).distinct()
+    pairs = written(pairs.join(torn, here, "left_anti").join(alignments, here), "pairs")
+    said = pairs.groupBy("id", "item", "slot").agg(F.max_by("value", F.struct("n", -F.col("shift"))).alias("said"))
+    against = pairs.join(said, ["id", "item", "slot"]).groupBy(*here).agg(
+        F.max(F.col("value") != F.col("said")).alias("against"), F.max(F.col("slot") != F.col("value")).alias("other"))
+    counted = (alignments.join(torn, here, "left_anti").join(against, here, "left").where(~F.coalesce("against", F.lit(False)))
+               .select(*here, "n", F.coalesce("other", F.lit(False)).alias("other")))
+    found = met.join(counted, here).groupBy("id", "item").agg(
+        F.max("windows").alias("item_windows"), F.count_distinct(template_at).alias("by_template"), F.count_distinct("item_at").alias("by_any"),
+        F.min(F.when(F.col("n") > 0, F.col("other"))).alias("template_other"), F.min("other").alias("any_other"))
     # Templates alone, where they are enough; else with the verbatim windows.
     enough = F.col("by_template") / F.col("item_windows") >= min_share
     found = found.withColumn("matched_windows", F.when(enough, F.col("by_template")).otherwise(F.col("by_any"))).withColumn(

@@ -151,12 +151,20 @@ def leaks(docs, items, units, width=8, min_literals=4, min_tokens=5, min_share=0
                 for first in (dt[k][0], dt[k][1]) if dt[k][0] == "#NAME" else (dt[k][0],):
                     for p in windows.get((first, *(t for t, _ in dt[k + 1:k + w])), ()):
                         shifts[k - p].append(p)
-            places, changed = set(), []
+            # What each alignment says of the item's slot values; those that contradict themselves don't count.
+            maps = {}
             for shift, ps in shifts.items():
                 pairs = {(it[p + j][1], dt[p + shift + j][1]) for p in ps for j in range(w) if it[p + j][0].startswith("#")}
                 if len({a for a, _ in pairs}) == len(pairs):
-                    places |= set(ps)
-                    changed.append(any(a != b for a, b in pairs))
+                    maps[shift] = dict(pairs)
+            # The largest alignment that has a value is right about it.
+            said = {}
+            for shift in sorted(maps, key=lambda s: (-len(set(shifts[s])), s)):
+                for a, b in maps[shift].items():
+                    said.setdefault(a, b)
+            right = [s for s in maps if all(said[a] == b for a, b in maps[s].items())]
+            places = {p for s in right for p in shifts[s]}
+            changed = [any(a != b for a, b in maps[s].items()) for s in right]
             if places and len(places) / total >= min_share:
                 out[doc, item] = (len(places), total, min(changed))
     return out

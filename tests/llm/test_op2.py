@@ -80,3 +80,23 @@ def test_verbatim_copies_of_items_with_few_plain_words(spark, make_docs):
     got = result(D.find_leaks(make_docs(docs), spark.createDataFrame(items, "item_id long, text string")))
     windows = {1: 23, 2: 23, 3: 3, 4: 1, 5: 1, 6: 3}
     assert got == {(k, k): (n, n, False) for k, n in windows.items()}
+
+
+def test_alignments_must_agree(spark, make_docs):
+    words = "when the old ferry from the harbour carries 120 guests over to the small island each of them pays the same sum and then " \
+            "the captain counts the money of all 120 guests before he sails back to the harbour late at night"
+    cut = words.index(" and then") + 4
+    one, two = words[:cut], words[cut:]
+    pause = " zzz yyy xxx www vvv uuu ttt sss "
+    docs = [(1, one.replace("120", "77") + pause + two.replace("120", "78")),  # two parts that contradict each other
+            (2, one.replace("120", "77") + pause + two.replace("120", "77")), (3, one + pause + two), (4, words.replace("120", "9"))]
+    items = [(1, words)]
+    got = result(D.find_leaks(make_docs(docs), spark.createDataFrame(items, "item_id long, text string"), min_share=0.55))
+    assert got == brute.leaks(docs, items, set(D.UNITS), min_share=0.55)
+    assert set(got) == {(2, 1), (3, 1), (4, 1)} and [got[k, 1][2] for k in (2, 3, 4)] == [True, False, True]
+
+
+def test_units_of_four_languages():
+    for text in ("3 heures", "2 Stunden", "5 días", "4 hours"):
+        data, offsets = D.K.as_bytes(D.pa.array([text]))
+        assert D.template_tokens(data, offsets)[2].tolist() == [D.NUMBER, D.UNIT]
