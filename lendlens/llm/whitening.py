@@ -15,8 +15,6 @@ exact covariance to double precision.
 
 from __future__ import annotations
 
-from functools import partial
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -194,13 +192,16 @@ def _tree(parts: DataFrame, merge) -> bytes | None:
     return bytes(parts.first()["data"])
 
 
-def _merge_spectra(dim: int, table: pa.Table) -> pa.Table:
-    rows = sorted(zip(table["n"].to_pylist(), table["data"].to_pylist()), key=lambda r: (-r[0], r[1]))
-    whole = Spectrum.unpacked(*rows[0], dim)
-    for row in rows[1:]:
-        whole.combine(Spectrum.unpacked(*row, dim))
-    n, data = whole.packed()
-    return pa.Table.from_batches([_row(part=table["part"][0].as_py(), n=n, data=data)])
+def _merge_spectra(dim: int):
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table["n"].to_pylist(), table["data"].to_pylist()), key=lambda r: (-r[0], r[1]))
+        whole = Spectrum.unpacked(*rows[0], dim)
+        for row in rows[1:]:
+            whole.combine(Spectrum.unpacked(*row, dim))
+        n, data = whole.packed()
+        return pa.Table.from_batches([_row(part=table["part"][0].as_py(), n=n, data=data)])
+
+    return run
 
 
 def _merge_sums(table: pa.Table) -> pa.Table:
@@ -219,7 +220,7 @@ def spectrum(fit: DataFrame, dim: int) -> Spectrum | None:
             n, data = held.packed()
             yield _row(part=TaskContext.get().partitionId(), n=n, data=data)
 
-    data = _tree(fit.select("x").mapInArrow(run, "part long, n long, data binary"), partial(_merge_spectra, dim))
+    data = _tree(fit.select("x").mapInArrow(run, "part long, n long, data binary"), _merge_spectra(dim))
     return None if data is None else Spectrum.unpacked(0, data, dim)
 
 

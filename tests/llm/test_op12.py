@@ -122,3 +122,16 @@ def test_partitions_do_not_matter(spark):
     b = W.whiten(df.coalesce(1)).orderBy("vec_id", "component").collect()
     assert np.allclose([r["whitened"] for r in a], [r["whitened"] for r in b], atol=1e-9)
     assert [r["deviation"] for r in a] == [r["deviation"] for r in b]
+
+
+def test_trees_of_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(W, "FAN_IN", 3)
+    fit, dim = W.integer_vectors(spark.read.parquet(f"{SMOKE_DIR}/embeddings.parquet"), "embedding")
+    many = fit.repartition(40)
+    x = np.array([r["x"] for r in fit.collect()], dtype=np.float64)
+    whole = W.spectrum(many, dim)
+    assert np.allclose(whole.vectors @ np.diag(whole.values) @ whole.vectors.T, scatter(x), atol=1e-9 * np.abs(scatter(x)).max())
+    basis = np.linalg.qr(np.random.default_rng(1).normal(size=(dim, 5)))[0]
+    got = W.projected_scatter(many, dim, x.mean(axis=0), basis)
+    assert np.allclose(got, basis.T @ scatter(x) @ basis)
+    assert W.totals(many, dim) == (len(x), [int(s) for s in x.sum(axis=0)])
