@@ -101,34 +101,33 @@ def _round_leaf(seed: int, last: bool):
     return run
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 0) -> DataFrame:
-    """(id, size, source_size, target, taken, copies): how often the mix takes each document.
-
-    One row per row of `docs`; size counts its words (null text: 0) and taken
-    is size times copies.  A text without words takes its whole expected
-    copies.  Null is a source of its own; rows that repeat an id are rounded
-    each for itself; an empty table gives an empty result.
-    """
-    narrow = written(docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"),
-                                 word_count(F.col(text_col)).alias("size")), "sizes")
+def _row_key(id_col: str, text_col: str, source_col: str):
+    """A hash of a row's id, text and source, nulls apart from all values."""
+    return F.xxhash64(*[x for c in (id_col, text_col, source_col) for x in (F.col(c), F.col(c).isNull())])
+
+
+def _plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights, share: float, cap: float, seed: int) -> DataFrame:
+    """(id, key, nth, size, source_size, target, copies) of each row; nth numbers rows of the same key."""
+    narrow = written(docs.select(F.col(id_col).cast("long").alias("id"), _row_key(id_col, text_col, source_col).alias("key"),
+                                 F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
+    # Rows that agree in all that counts get numbers, so that they draw different coins.
+    again = Window.partitionBy("key").orderBy("id")
+    narrow = narrow.withColumn("nth", F.row_number().over(again))
     totals = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     targets = source_targets(totals.select("source", "source_size"), weights, share, cap)
     table = written(targets.join(totals.select(F.col("source").alias("s"), "docs"), F.col("source").eqNullSafe(F.col("s")))
-                    .drop("s").select(F.col("source").alias("key"), "source_size", "target",
+                    .drop("s").select(F.col("source").alias("of"), "source_size", "target",
                                       F.ceil(F.col("docs") / LEAF_ROWS).cast("long").alias("leaves")), "targets")
     chance = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rows = narrow.join(sized_broadcast(table), F.col("source").eqNullSafe(F.col("key")))
+    rows = narrow.join(sized_broadcast(table), F.col("source").eqNullSafe(F.col("of")))
     rows = rows.withColumn("whole", F.floor(chance).cast("long")).withColumn("p", chance - F.floor(chance))
-    fixed = rows.where("size = 0 OR p = 0").select("id", "size", "source_size", "target", F.col("whole").alias("copies"))
-    # A repeated id gets a row number of its own, so that its rows draw different coins.
-    again = Window.partitionBy("id").orderBy("size", "source")
-    open_rows = rows.where("size > 0 AND p > 0").withColumn("nth", F.row_number().over(again))
-    open_rows = open_rows.select("id", "size", "source_size", "target", "whole", "p", "leaves",
+    fixed = rows.where("size = 0 OR p = 0").select("id", "key", "nth", "size", "source_size", "target", F.col("whole").alias("copies"))
+    open_rows = rows.where("size > 0 AND p > 0")
+    open_rows = open_rows.select("id", "key", "nth", "size", "source_size", "target", "whole", "p", "leaves",
                                  F.coalesce("source", F.lit("")).alias("src"), F.col("source").isNull().alias("no_src"),
-                                 F.xxhash64("id", "nth", "size").alias("row"))
+                                 F.xxhash64("key", "nth").alias("row"))
     open_rows = open_rows.withColumn("leaf", F.pmod("row", "leaves"))
-    state = "id long, size long, source_size long, target double, whole long, p double, leaves long, " \
+    state = "id long, key long, nth int, size long, source_size long, target double, whole long, p double, leaves long, " \
             "src string, no_src boolean, row long, leaf long"
     most = table.agg(F.max("leaves").alias("n")).first()["n"] or 1
     done, level = [fixed], 0
@@ -137,7 +136,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         out = open_rows.groupBy("no_src", "src", "leaf").applyInPandas(_round_leaf(seed + 2 * level, last), state)
         out = written(out, "rounded")
         done.append(out.where("p = 0 OR p = 1").select(
-            "id", "size", "source_size", "target", (F.col("whole") + F.col("p").cast("long")).alias("copies")))
+            "id", "key", "nth", "size", "source_size", "target", (F.col("whole") + F.col("p").cast("long")).alias("copies")))
         if last:
             break
         most = -(-most // FAN_IN)
@@ -146,15 +145,32 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     result = done[0]
     for part in done[1:]:
         result = result.union(part)
-    return result.select(F.col("id").alias(id_col), "size", "source_size", "target",
-                         (F.col("size") * F.col("copies")).alias("taken"), "copies")
+    return result
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 0) -> DataFrame:
+    """(id, size, source_size, target, taken, copies): how often the mix takes each document.
+
+    One row per row of `docs`; size counts its words (null text: 0) and taken
+    is size times copies.  A text without words takes its whole expected
+    copies.  Null is a source of its own; rows that repeat an id are rounded
+    each for itself; an empty table gives an empty result.
+    """
+    plan = _plan(docs, id_col, text_col, source_col, weights, share, cap, seed)
+    return plan.select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 0) -> DataFrame:
     """The rows of `docs` that the mix takes, all columns, plus copies (how often).
 
-    Rows with a null id take the copies of nothing and go; of rows that repeat
-    an id, all get the id's largest number of copies.
+    Every row has its own share of the plan, also rows with a null id or that repeat an id; which of several rows
+    with the same id, text and source takes which number of copies is open, the numbers are the plan's.
     """
-    plan = mix_sources(docs, id_col, **options).groupBy(id_col).agg(F.max("copies").alias("copies"))
-    return docs.drop(*({"copies"} - {id_col})).join(plan.where("copies > 0"), id_col)
+    plan = _plan(docs, id_col, text_col, source_col, weights, share, cap, seed).where("copies > 0")
+    plan = plan.select(F.col("key").alias("__key"), F.col("nth").alias("__nth"), "copies")
+    docs = docs.drop(*({"copies"} - {id_col, text_col, source_col})).withColumn("__key", _row_key(id_col, text_col, source_col))
+    names = [c for c in docs.columns if c != "__key"]
+    numbered = docs.withColumn("__nth", F.row_number().over(Window.partitionBy("__key").orderBy("__key")))
+    return numbered.join(plan, ["__key", "__nth"]).select(*names, "copies")

@@ -80,11 +80,11 @@ def _digests(hashes: np.ndarray, owner: np.ndarray, rows: int):
 
 
 def _sketch_rows(width: int):
-    """Task: (id, n, h1, h2, sig) of each (id, text); sig: TREES * DEPTH minwise tokens as 32-bit numbers."""
+    """Task: (id, digest, n, h1, h2, sig) of each (id, digest, text); sig: TREES * DEPTH minwise tokens as 32-bit numbers."""
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1)
+            texts = batch.column(2)
             for lo, rows, hashes, owner in shingle_sets(texts, width):
                 size, h1, h2 = _digests(hashes, owner, rows)
                 filled = np.flatnonzero(size)
@@ -96,8 +96,8 @@ def _sketch_rows(width: int):
                         sig[filled, j] = np.minimum.reduceat(v, cut)
                 sigs = [sig[i].tobytes() if size[i] else None for i in range(rows)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, rows), pa.array(size), pa.array(h1), pa.array(h2),
-                     pa.array(sigs, pa.binary())], ["id", "n", "h1", "h2", "sig"])
+                    [batch.column(0).slice(lo, rows), batch.column(1).slice(lo, rows), pa.array(size), pa.array(h1), pa.array(h2),
+                     pa.array(sigs, pa.binary())], ["id", "digest", "n", "h1", "h2", "sig"])
 
     return run
 
@@ -436,19 +436,12 @@ def _rest_of_wide(wide: DataFrame, joined: DataFrame, awaited: DataFrame, texts_
     return links if found is None else found.union(links)
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
-                    percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of each row of `docs`, linked at Jaccard similarity >= percent / 100.
-
-    component_id is the smallest id that links reach, kept whether that is the
-    row's own.  Empty or null texts have no shingles and are linked with
-    nothing; a row with a null id is linked with nothing, has a null
-    component and is kept.  Rows with the same id and different texts are
-    judged each for itself; an empty table gives an empty result.
-    """
+def _labelled(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """(id, digest, n, c, component_id, kept) of each row: a hash of its text, the size of its set, and its component c (null: no set)."""
     small_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketches = written(narrow.mapInArrow(_sketch_rows(width), "id long, n long, h1 long, h2 long, sig binary"), "sketches")
+    sketches = written(narrow.select("id", F.xxhash64("text").alias("digest"), "text").mapInArrow(
+        _sketch_rows(width), "id long, digest long, n long, h1 long, h2 long, sig binary"), "sketches")
     reps = written(sketches.where("n > 0 AND id IS NOT NULL").groupBy("n", "h1", "h2")
                    .agg(F.min("id").alias("rep"), F.first("sig").alias("sig")), "reps")
     # An id may stand for several sets; the trees work on a number for each set.
@@ -506,22 +499,36 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     label = reps.join(joined.select(F.col("id").alias("node"), "component"), "node", "left")
     first = label.groupBy(F.coalesce("component", "node").alias("c")).agg(F.min("rep").alias("component_id"))
-    label = label.withColumn("c", F.coalesce("component", "node")).join(first, "c").select("n", "h1", "h2", "component_id")
-    return (sketches.select("id", "n", "h1", "h2").join(label, ["n", "h1", "h2"], "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))
+    label = label.withColumn("c", F.coalesce("component", "node")).join(first, "c").select("n", "h1", "h2", "c", "component_id")
+    return (sketches.select("id", "digest", "n", "h1", "h2").join(label, ["n", "h1", "h2"], "left")
+            .select("id", "digest", "n", "c", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+            .withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of its component, all columns unchanged.
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
+                    percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of each row of `docs`, linked at Jaccard similarity >= percent / 100.
 
-    Rows that repeat an id count as one document: the one with the smallest text (null first) stays; rows with a null id all stay.
+    component_id is the smallest id that links reach, kept whether that is the
+    row's own.  Empty or null texts have no shingles and are linked with
+    nothing; a row with a null id is linked with nothing, has a null
+    component and is kept.  Rows with the same id and different texts are
+    judged each for itself; an empty table gives an empty result.
     """
-    kept = near_components(docs, id_col, text_col, **options).where(F.col("kept") & F.col(id_col).isNotNull())
-    named = docs.where(F.col(id_col).isNotNull())
-    chosen = named.join(kept.select(id_col).distinct(), id_col, "left_semi")
+    return _labelled(docs, id_col, text_col, width, percent).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept")
+
 
-    place = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
-    chosen = chosen.withColumn("__place", F.row_number().over(place)).where("__place = 1").drop("__place")
-    return chosen.union(docs.where(F.col(id_col).isNull()))
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs` whose id is the smallest of its component, all columns unchanged.
+
+    Rows that repeat an id are judged by their own texts; of those of one component (or without words) the one with
+    the smallest text (null first) stays.  Rows with a null id all stay.
+    """
+    digest, group = "__digest", "__component"
+    kept = (_labelled(docs, id_col, text_col, width, percent).where(F.col("kept") & F.col("id").isNotNull())
+            .select(F.col("id").alias(id_col), F.col("digest").alias(digest), F.col("c").alias(group)).distinct())
+    named = docs.where(F.col(id_col).isNotNull()).withColumn(digest, F.xxhash64(text_col))
+    place = Window.partitionBy(id_col, group).orderBy(F.col(text_col).asc_nulls_first())
+    chosen = named.join(kept, [id_col, digest]).withColumn("__place", F.row_number().over(place)).where("__place = 1")
+    return chosen.select(docs.columns).union(docs.where(F.col(id_col).isNull()))

@@ -64,7 +64,15 @@ def test_null_and_repeated_ids(spark, make_docs):
     rows = [(None, "a b", "x"), (None, "a b", "x"), (1, "c", "x"), (1, "c", "x"), (1, "c d e", None), (2, "f", "y")]
     got = M.mix_sources(make_docs([(i, t, "en", s) for i, t, s in rows])).collect()
     assert len(got) == 6
-    assert all(r["doc_id"] is not None for r in M.mixed(make_docs([(i, t, "en", s) for i, t, s in rows])).collect())
+    rows = [(None if k % 3 else k % 5, f"w{k % 40} " * (1 + k % 7), "x" if k % 2 else None) for k in range(300)] + [(1, None, "x"), (None, None, None)]
+    docs = make_docs([(i, t, "en", s) for i, t, s in rows])
+    plan, out = M.mix_sources(docs).collect(), M.mixed(docs).collect()
+    assert len(plan) == len(rows)
+    taken = sorted((r["doc_id"] or -1, r["size"], r["copies"]) for r in plan if r["copies"])
+    assert sorted((r["doc_id"] or -1, len(brute.words(r["text"])), r["copies"]) for r in out) == taken
+    sizes = {s: sum(len(brute.words(t)) for _, t, z in rows if z == s) for s in ("x", None)}
+    for s, target in brute.source_targets(sizes).items():
+        assert abs(sum(r["copies"] * len(brute.words(r["text"])) for r in out if r["source"] == s) - target) <= 7
 
 
 def test_empty_table(spark, make_docs):
