@@ -27,7 +27,7 @@ from lendlens.llm import textkernels as K
 from lendlens.llm.common import small_batches, train_row, written
 
 #: The bounds of the fit: labelled examples of each class, and their bytes of text together.
-EXAMPLES_PER_CLASS = 1_000
+EXAMPLES_PER_CLASS = 800
 EXAMPLE_BYTES = 4 << 20
 #: A word weighs idf * (WEIGHT_OF_ANY + phi), where phi is shrunk by what chance gives (CHANCE, a chi-square value).
 WEIGHT_OF_ANY = 0.02
@@ -35,7 +35,7 @@ CHANCE = 10.0
 NEIGHBOURS = 15
 BLOCK = 64
 #: Blocks opened before the k-th similarity is looked at again.
-OPENED = 4
+OPENED = 6
 #: A neighbour at cosine distance d votes with 1 / (d + NEAREST); the overall rate with PRIOR_WEIGHT.
 NEAREST = 0.05
 PRIOR_WEIGHT = 0.5
@@ -96,7 +96,8 @@ class BlockMaxIndex:
         """(examples, similarities) of the k nearest with a positive similarity; ties by example number."""
         lo, hi = self.entries[terms], self.entries[terms + 1]
         entry, w = _ranges(lo, hi), np.repeat(weights, hi - lo)
-        bound = np.bincount(self.block[entry], w * self.most[entry], self.n_blocks)
+        block = self.block[entry]
+        bound = np.bincount(block, w * self.most[entry], self.n_blocks)
         blocks = np.argsort(-bound, kind="stable")
         blocks = blocks[bound[blocks] > 0]
         ids, sims, least = np.zeros(0, np.int64), np.zeros(0), 0.0
@@ -106,19 +107,20 @@ class BlockMaxIndex:
                 opened = opened[bound[opened] >= least - 1e-9]
                 if not len(opened):
                     break
-            mine = np.isin(self.block[entry], opened)
-            some = entry[mine]
-            begin, end = self.cut[some], self.cut[some + 1]
-            posting = _ranges(begin, end)
-            place = self.place[posting]
-            slot = np.zeros(self.n_blocks, np.int64)
+            slot = np.full(self.n_blocks, -1)
             slot[opened] = np.arange(len(opened))
-            score = np.bincount(slot[place // BLOCK] * BLOCK + place % BLOCK, np.repeat(w[mine], end - begin) * self.weight[posting],
-                                len(opened) * BLOCK)
+            mine = np.flatnonzero(slot[block] >= 0)
+            begin, end = self.cut[entry[mine]], self.cut[entry[mine] + 1]
+            posting = _ranges(begin, end)
+            # Places within the opened blocks: an entry's postings are all in its block.
+            move = np.repeat((slot[block[mine]] - block[mine]) * BLOCK, end - begin)
+            score = np.bincount(self.place[posting] + move, np.repeat(w[mine], end - begin) * self.weight[posting], len(opened) * BLOCK)
             hit = np.flatnonzero(score > 0)
+            if len(ids) >= k:
+                hit = hit[score[hit] >= least]
             found = self.order[opened[hit // BLOCK] * BLOCK + hit % BLOCK]
             hit, found = hit[found != without], found[found != without]
-            ids, sims = np.r_[ids, found], np.r_[sims, score[hit]]
+            ids, sims = np.concatenate([ids, found]), np.concatenate([sims, score[hit]])
             best = np.lexsort((ids, -sims))[:k]
             ids, sims = ids[best], sims[best]
             least = sims[-1] if len(sims) else 0.0
