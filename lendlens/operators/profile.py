@@ -222,6 +222,53 @@ def missing_combinations(df: DataFrame, cols) -> DataFrame:
         s(a & ~b & ~c).alias("missing_1_only"), s(b & ~a & ~c).alias("missing_2_only"))
 
 
+def missing_patterns(df: DataFrame, cols) -> DataFrame:
+    """One row per set of columns that are missing together on some row: (missing, rows), ``missing`` in the order of ``cols``.
+
+    A single pass counts the patterns (combined map-side); there are as many as the data shows, however many sets
+    the columns have. Counts of any column set are sums over this table.
+    """
+    mask = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
+    counts = df.select(mask.alias("mask")).groupBy("mask").agg(F.count(F.lit(1)).alias("rows"))
+    names = F.transform(F.lit(list(cols)), lambda c, i: F.when(F.substr(F.col("mask"), i + 1, F.lit(1)) == "1", c))
+    return counts.select(F.filter(names, lambda c: c.isNotNull()).alias("missing"), "rows")
+
+
+def missing_together(patterns: DataFrame, sets) -> DataFrame:
+    """(columns, rows_all_missing, rows_only_these) of each listed column set, from a table of ``missing_patterns``."""
+    wanted = [sorted(x) for x in sets]
+    sums = []
+    for j, cols in enumerate(wanted):
+        want, n = F.lit(cols) if cols else F.array().cast("array<string>"), len(cols)
+        hit = F.size(F.array_intersect("missing", want)) == n
+        sums += [F.coalesce(F.sum(F.when(hit, F.col("rows"))), F.lit(0)).alias(f"all{j}"),
+                 F.coalesce(F.sum(F.when(hit & (F.size("missing") == n), F.col("rows"))), F.lit(0)).alias(f"only{j}")]
+    cells = F.array(*[F.struct(F.array_join(F.lit(c), ",").alias("columns") if c else F.lit("").alias("columns"),
+                               F.col(f"all{j}").alias("rows_all_missing"), F.col(f"only{j}").alias("rows_only_these")) for j, c in enumerate(wanted)])
+    return patterns.agg(*sums).select(F.explode(cells).alias("c")).select("c.*")
+
+
+def missing_lattice(df: DataFrame, cols, order: int = 3) -> DataFrame:
+    """C13–C15 for every set of up to ``order`` columns that some row misses together: (columns, n_columns,
+    rows_all_missing, rows_only_these).
+
+    Superset sums over the pattern table: each pattern adds its rows to all its subsets, so the data is read once
+    and sets that never occur cost nothing. ``columns`` joins the sorted names by commas.
+    """
+    names = F.array_sort("missing")
+    sub = F.array(F.struct(F.array().cast("array<string>").alias("set"), F.lit(0).alias("next")))
+    every = None
+    for _ in range(order):  # subsets of one more column, each behind the last one taken
+        sub = F.flatten(F.transform(sub, lambda s: F.transform(
+            F.filter(F.transform(names, lambda c, i: F.struct(c.alias("c"), (i + 1).alias("next"))), lambda x: x.next > s.next),
+            lambda x: F.struct(F.array_append(s.set, x.c).alias("set"), x.next.alias("next")))))
+        every = sub if every is None else F.concat(every, sub)
+    pairs = missing_patterns(df, cols).select("rows", F.size("missing").alias("m"), F.explode(every).alias("s"))
+    return pairs.groupBy(F.array_join("s.set", ",").alias("columns"), F.size("s.set").alias("n_columns")).agg(
+        F.sum("rows").alias("rows_all_missing"),
+        F.coalesce(F.sum(F.when(F.col("m") == F.size("s.set"), F.col("rows"))), F.lit(0)).alias("rows_only_these"))
+
+
 def missing_bands(df: DataFrame, cols=None) -> DataFrame:
     """Band each column by missing share: <5%, 5–30%, >=30%, most
     missing first."""

@@ -254,12 +254,18 @@ def k19_run_experiments(spark, sf_dir):
 @register("k20_raw_baseline")
 def k20_raw_baseline(spark, sf_dir):
     """Raw-data baselines (logistic regression on complete numeric rows,
-    boosted trees with missing indicators); an error in any run fails the
-    query."""
+    boosted trees with unordered categories and gaps); an error in any run
+    fails the query."""
     return ex.run_experiments(spark, apps(spark, sf_dir), models=("logistic_regression", "gradient_boosting"),
                               data_types=("raw",), use_smote=False, params=None, raise_errors=True)
 
 
+@register("k20_raw_forest")
+def k20_raw_forest(spark, sf_dir):
+    """The raw-data forest, 300 trees on complete numeric rows."""
+    return ex.run_experiments(spark, apps(spark, sf_dir), models=("random_forest",), data_types=("raw",), use_smote=False, raise_errors=True)
+
+
 @register("k21_preprocessing_pipeline")
 def k21_preprocessing_pipeline(spark, sf_dir):
     """The default logistic preparation pipeline fitted on the train
@@ -290,7 +296,7 @@ def a5_score_file(spark, sf_dir):
     res = _lr_run(spark, sf_dir)
     mpath = ex.save_model(scratch_path(spark, "model"), res["model"], "logistic_regression", "preprocessed",
                           res["features"], res["pipeline"])
-    _, test = ex.split_once(apps(spark, sf_dir))
+    test = res["test"]
     data_path = scratch_path(spark, "to-score")
     test.write.parquet(data_path)
     scores, _counts = ex.score_file(spark, mpath, data_path, scratch_path(spark, "scores"))
@@ -305,7 +311,7 @@ def a5_score_stream(spark, sf_dir):
     res = _lr_run(spark, sf_dir)
     mpath = ex.save_model(scratch_path(spark, "model"), res["model"], "logistic_regression", "preprocessed",
                           res["features"], res["pipeline"])
-    _, test = ex.split_once(apps(spark, sf_dir))
+    test = res["test"]
     in_dir, out_dir = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
     test.repartition(4).write.parquet(in_dir)
     q = score_stream(spark, mpath, in_dir, test.schema, out_dir, scratch_path(spark, "stream-ckpt"))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
+from lendlens.functions import quantiles
 from lendlens.functions.exprs import EXT_COLS, SOCIAL_COLS, BUREAU_COLS, EDUCATION_ORDER, NUMERIC_TYPES
 from lendlens.operators import charts, profile, quality
 from lendlens.plans.catalog import apps, oracle, r, register
+from lendlens.session import scratch_path
 from lendlens.sources.fixtures import APP_COLUMNS
 
 _HOUR_BIN_SQL = ("CASE WHEN HOUR_APPR_PROCESS_START >= 0 AND HOUR_APPR_PROCESS_START < 6 THEN 'Late_Night' "
@@ -289,6 +293,57 @@ def c15_missing_combinations(spark, sf_dir):
     return profile.missing_combinations(apps(spark, sf_dir), EXT_COLS)
 
 
+_LATTICE_COLS = sorted([*EXT_COLS, *SOCIAL_COLS[:2], "OWN_CAR_AGE", "OCCUPATION_TYPE", "AMT_ANNUITY", "AMT_REQ_CREDIT_BUREAU_DAY", "NAME_TYPE_SUITE"])
+_SUBSETS = [x for n in (1, 2, 3) for x in combinations(_LATTICE_COLS, n)]
+
+
+@register("c15_missing_lattice", oracle(", m AS (SELECT " + " + ".join(
+    f"CASE WHEN {c} IS NULL THEN {1 << i} ELSE 0 END" for i, c in enumerate(_LATTICE_COLS)) + " AS mask FROM applications), "
+    "s AS (SELECT * FROM (VALUES " + ", ".join(
+        f"('{','.join(x)}', {len(x)}, {sum(1 << _LATTICE_COLS.index(c) for c in x)})" for x in _SUBSETS) + ") v(cols, n, bits)) "
+    """SELECT cols AS columns, n AS n_columns, CAST(count(*) AS BIGINT) AS rows_all_missing,
+       CAST(count(*) FILTER (WHERE mask = bits) AS BIGINT) AS rows_only_these
+FROM s JOIN m ON mask & bits = bits GROUP BY cols, n"""))
+def c15_missing_lattice(spark, sf_dir):
+    """C13–C15 for all sets of up to three of ten columns, from one pass of pattern counts."""
+    return profile.missing_lattice(apps(spark, sf_dir), _LATTICE_COLS, 3)
+
+
+_PATTERN_COLS = [*EXT_COLS, *SOCIAL_COLS, *BUREAU_COLS, "OCCUPATION_TYPE", "AMT_ANNUITY"]
+_TOGETHER = [EXT_COLS, SOCIAL_COLS, BUREAU_COLS, [*EXT_COLS[:2], "OCCUPATION_TYPE"], ["AMT_ANNUITY"], []]
+
+
+@register("c13_missing_together", oracle(" UNION ALL ".join(
+    f"SELECT '{','.join(sorted(x))}' AS columns, CAST(count(*) FILTER (WHERE {' AND '.join(['TRUE', *(f'{c} IS NULL' for c in x)])}) AS BIGINT) "
+    f"AS rows_all_missing, CAST(count(*) FILTER (WHERE {' AND '.join((c + ' IS NULL') if c in x else (c + ' IS NOT NULL') for c in _PATTERN_COLS)}) AS BIGINT) "
+    "AS rows_only_these FROM applications" for x in _TOGETHER)))
+def c13_missing_together(spark, sf_dir):
+    """Rows missing all of, and exactly, each listed column set, from the pattern table of fifteen columns."""
+    patterns = profile.missing_patterns(apps(spark, sf_dir), _PATTERN_COLS)
+    return profile.missing_together(patterns, _TOGETHER)
+
+
+_M14_COLS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "EXT_SOURCE_1", "OWN_CAR_AGE"]
+_M14_PROBS = [0.01, 0.25, 0.5, 0.9, 0.999]
+
+
+@register("m14_kept_sketches", oracle(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS p, {r(f'quantile_cont({c}, {p})')} AS exact, TRUE AS approximate_within FROM applications"
+    for c in _M14_COLS for p in _M14_PROBS)))
+def m14_kept_sketches(spark, sf_dir):
+    """Quantiles from sketches kept by hour and merged; each is checked against its exact rank, and stands beside the exact value."""
+    df = apps(spark, sf_dir)
+    path = scratch_path(spark, "sketches")
+    quantiles.sketch_table(df, _M14_COLS, by=["HOUR_APPR_PROCESS_START"]).write.parquet(path)
+    found = quantiles.approximate_quantiles(quantiles.merge_sketches(spark.read.parquet(path)), _M14_PROBS).collect()
+    # Shares of values below, and up to, each approximate quantile: one pass.
+    at = df.agg(*[F.avg(F.when(F.col(q["column"]).isNotNull(), (F.col(q["column"]) < q["value"]).cast("double"))).alias(f"lo{j}") for j, q in enumerate(found)],
+                *[F.avg(F.when(F.col(q["column"]).isNotNull(), (F.col(q["column"]) <= q["value"]).cast("double"))).alias(f"hi{j}") for j, q in enumerate(found)]).first()
+    exact, slack = quantiles.exact_quantiles(df, _M14_COLS, _M14_PROBS), 2 * quantiles.RANK_ERROR
+    rows = [(q["column"], q["p"], exact[q["column"]][q["p"]], at[f"lo{j}"] - slack <= q["p"] <= at[f"hi{j}"] + slack) for j, q in enumerate(found)]
+    return spark.createDataFrame(rows, "column string, p double, exact double, approximate_within boolean")
+
+
 @register("c16_missing_bands", oracle(f"""
 SELECT "column", missing_count, {r('missing_percent')} AS missing_percent,
        CASE WHEN missing_percent < 5 THEN 'LOW_<5%' WHEN missing_percent < 30 THEN 'MEDIUM_5-30%' ELSE 'HIGH_>=30%' END AS band

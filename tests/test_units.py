@@ -1,14 +1,17 @@
 """Unit cases on small hand-made frames (nulls, ties, constants, edge values)."""
 
+import itertools
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from lendlens.functions import stats_math as sm
 from lendlens.functions.exprs import hour_bin
-from lendlens.functions.quantiles import exact_quantiles, order_statistics
+from lendlens.functions.quantiles import (RANK_ERROR, approximate_quantiles, exact_quantiles, merge_sketches, order_statistics,
+                                          sketch_table)
 from lendlens.functions.ranking import running_sums
 from lendlens.operators import charts, encode, evaluate, features, impute, profile, quality, sampling, select, stats
 from lendlens.operators.neighbours import knn_impute, knn_join, smote
@@ -60,19 +63,53 @@ def test_exact_quantiles_match_numpy(spark):
     x = np.concatenate([rng.normal(size=3000), np.full(500, 1.25), rng.exponential(size=1500) * 1e6])
     df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(7)
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.9999, 1.0]
-    got = exact_quantiles(df, ["x"], probs, max_collect=200, buckets=16)["x"]
+    got = exact_quantiles(df, ["x"], probs, max_collect=200, sketch_k=256)["x"]
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(x, p)), rel=1e-12, abs=1e-12)
 
 
 def test_order_statistics_and_empty(spark):
     df = spark.createDataFrame([(float(v),) for v in [5, 1, 4, 1, 3]] + [(None,)], "x double")
-    st = order_statistics(df, {"x": F.col("x")}, {"x": [0, 1, 4, 9]}, max_collect=2, buckets=2)
+    st = order_statistics(df, {"x": F.col("x")}, {"x": [0, 1, 4, 9]}, max_collect=2)
     assert st["x"] == {0: 1.0, 1: 1.0, 4: 5.0, 9: None}
     empty = spark.createDataFrame([], "x double")
     assert exact_quantiles(empty, ["x"], [0.5])["x"][0.5] is None
 
 
+@pytest.mark.parametrize("kw", [{}, {"max_collect": 50}, {"max_collect": 100, "margin": 1e-6}])
+def test_exact_quantiles_whatever_the_sketch_says(spark, kw):
+    """Heavy tails, a value that fills most of a column, gaps, and brackets too narrow for the sketch's error."""
+    rng = np.random.default_rng(1)
+    n = 20000
+    wide = np.exp(rng.normal(size=n) * 8)
+    wide[:2] = 1e300, -1e300
+    cols = {"normal": rng.normal(size=n), "wide": wide, "few": rng.integers(0, 5, n).astype(float),
+            "tied": np.where(rng.random(n) < .6, 7.0, rng.normal(size=n)), "one": np.full(n, 3.0),
+            "gaps": np.where(rng.random(n) < .9, np.nan, rng.normal(size=n))}
+    df = spark.createDataFrame(pd.DataFrame(cols)).withColumn("none", F.lit(None).cast("double")).repartition(5)
+    probs = [0, 0.01, 0.25, 0.5, 0.75, 0.999, 1]
+    got = exact_quantiles(df, [*cols, "none"], probs, **kw)
+    for c, x in cols.items():
+        assert [got[c][p] for p in probs] == pytest.approx(list(np.nanquantile(x, probs)), rel=1e-12)
+    assert got["none"] == {p: None for p in probs}
+
+
+def test_kept_sketches_merge(spark):
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"day": rng.integers(0, 6, 30000), "x": rng.lognormal(size=30000) * 1e3, "y": rng.normal(size=30000)})
+    pdf.loc[pdf["day"] == 5, "y"] = np.nan
+    df = spark.createDataFrame(pdf)
+    days = sketch_table(df, ["x", "y"], by=["day"])
+    assert days.count() == 12 and days.where("sketch IS NULL").select("day", "column").collect() == [(5, "y")]
+    probs = [0.0, 0.1, 0.5, 0.9, 0.999, 1.0]
+    for some, by in ((merge_sketches(days), []), (merge_sketches(days, ["day"]), ["day"])):
+        for r in approximate_quantiles(some, probs, by).collect():
+            x = pdf[r["column"]] if not by else pdf[pdf["day"] == r["day"]][r["column"]]
+            x = x.dropna().to_numpy()
+            assert (x < r["value"]).mean() - 2 * RANK_ERROR <= r["p"] <= (x <= r["value"]).mean() + 2 * RANK_ERROR
+    assert merge_sketches(days).agg(F.sum("n")).first()[0] == 30000 + int((pdf["day"] != 5).sum())
+
+
 # ------------------------------------------------------------ imputers
 def test_modes_smallest_on_ties(spark):
     df = spark.createDataFrame([("b", 2.0), ("a", 2.0), ("b", 1.0), ("a", 1.0), (None, None)], "s string, x double")
@@ -231,6 +268,54 @@ def test_stratified_split_sizes_and_disjoint(spark):
     assert a == b
 
 
+def test_split_of_many_classes(spark):
+    """10,000 classes of all sizes, one with a third of all rows, one NULL; sizes exact, ties of hashes by id."""
+    rows = spark.range(60000).selectExpr(
+        "id AS ID", "CASE WHEN id % 3 = 0 THEN 0 WHEN id % 97 = 1 THEN NULL ELSE id % 10007 END AS TARGET")
+    out = sampling.stratified_split(rows, test_size=0.2, seed=7)
+    assert out.columns == ["ID", "TARGET", "split"]
+    got = {r["TARGET"]: (r["n"], r["t"]) for r in out.groupBy("TARGET").agg(
+        F.count("*").alias("n"), F.sum((F.col("split") == "test").cast("int")).alias("t")).collect()}
+    n = sum(a for a, _ in got.values())
+    n_test = math.ceil(0.2 * n)
+    n_train = n - n_test
+    train = {k: n_train * a // n for k, (a, _) in got.items()}
+    order = sorted(got, key=lambda k: (-(n_train * got[k][0] % n), k is None, k))
+    for k in order[:n_train - sum(train.values())]:
+        train[k] += 1
+    assert n == 60000 and len(got) > 10000 and {k: a - t for k, (a, t) in got.items()} == train
+    picked = sorted((r["h"], r["ID"]) for r in out.where("TARGET = 0").select(sampling.split_hash("ID", 7).alias("h"), "ID").collect())
+    side = {r["ID"]: r["split"] for r in out.where("TARGET = 0").collect()}
+    assert [side[i] for _, i in picked] == ["test"] * got[0][1] + ["train"] * (got[0][0] - got[0][1])
+
+
+def test_class_weights_of_many_classes(spark):
+    df = spark.range(1000).selectExpr("IF(id < 400, 0, id % 100) AS y")
+    got = {r["y"]: r["weight"] for r in sampling.with_class_weight(df, "y").distinct().collect()}
+    assert len(got) == 100 and got[0] == pytest.approx(1000 / (100 * 406)) and got[7] == pytest.approx(1000 / (100 * 6))
+
+
+def test_missing_lattice(spark):
+    rng = np.random.default_rng(4)
+    cols = [f"c{k}" for k in range(7)]
+    rows = [tuple(None if rng.random() < 0.15 * k else 1 for k in range(7)) for _ in range(300)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} int" for c in cols))
+    gone = [{c for c, v in zip(cols, r) if v is None} for r in rows]
+    patterns = {tuple(r["missing"]): r["rows"] for r in profile.missing_patterns(df, cols).collect()}
+    assert patterns == {tuple(sorted(g)): gone.count(g) for g in gone}
+    for order in (1, 2, 4):
+        got = {r["columns"]: (r["n_columns"], r["rows_all_missing"], r["rows_only_these"]) for r in profile.missing_lattice(df, cols, order).collect()}
+        want = {}
+        for n in range(1, order + 1):
+            for x in itertools.combinations(cols, n):
+                if every := sum(set(x) <= g for g in gone):
+                    want[",".join(x)] = (n, every, gone.count(set(x)))
+        assert got == want
+    assert profile.missing_lattice(df.limit(0), cols).collect() == []
+    together = profile.missing_together(profile.missing_patterns(df.limit(0), cols), [["c1", "c2"], []]).collect()
+    assert [tuple(r) for r in together] == [("c1,c2", 0, 0), ("", 0, 0)]
+
+
 def test_smote_balances_and_interpolates(spark):
     rng = np.random.default_rng(2)
     rows = [(i, 0, float(x), float(y)) for i, (x, y) in enumerate(rng.normal(size=(120, 2)), start=1)]
