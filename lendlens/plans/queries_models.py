@@ -202,7 +202,7 @@ def c6_knn_imputer(spark, sf_dir):
 # -------------------------------------------------- K5–K8, K17–K21, A
 def _lr_run(spark, sf_dir, use_smote=False):
     train, test = ex.split_once(apps(spark, sf_dir))
-    return ex.train_and_evaluate(train, test, "logistic_regression", use_smote=use_smote)
+    return {**ex.train_and_evaluate(train, test, "logistic_regression", use_smote=use_smote), "test": test}
 
 
 @register("k5_logistic_regression")
