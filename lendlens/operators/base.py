@@ -16,6 +16,7 @@ from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lendlens.session import scratch_path
 
@@ -84,9 +85,25 @@ class _TableReader(DefaultParamsReader):
 class TableModel(JsonModel):
     """Fitted stage with a table of any size beside its JSON state."""
 
+    #: Values up to which a column's lookup becomes part of the projection instead of a join.
+    SMALL_VALUES = 64
+
     def table(self) -> DataFrame:
         return SparkSession.getActiveSession().read.parquet(self.fitted["table"])
 
+    def small_lookups(self) -> dict[tuple, dict]:
+        """{(kind, c): {v: x}} of the columns with few values, all from one read of a (kind, c, v, x) table."""
+        path = self.fitted["table"]
+        if getattr(self, "_small", (None,))[0] != path:
+            table = self.table()
+            widths = table.groupBy("kind", "c").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= self.SMALL_VALUES)
+            rows = table.join(F.broadcast(widths), ["kind", "c"]).select("kind", "c", "v", "x").collect()  # a row per column and few values
+            found: dict[tuple, dict] = {}
+            for r in rows:
+                found.setdefault((r["kind"], r["c"]), {})[r["v"]] = r["x"]
+            self._small = (path, found)
+        return self._small[1]
+
     def write(self):
         return _TableWriter(self)
 

@@ -2,9 +2,10 @@
 
 Codes, shares and target means are fitted as a table (kind, c, v, x) with one
 row per column and value, of any number of values: one pass over the rows
-counts every value of every column (map-side combined), and ``transform``
-looks values up by a left join, which the planner broadcasts while the table
-is small. Sorted codes come from range-partitioned running sums, so no task
+counts every value of every column (map-side combined). ``transform`` reads
+the columns of few values at once and looks them up in the projection; those
+of more values by a left join each, which the planner broadcasts while the
+table is small. Sorted codes come from range-partitioned running sums, so no task
 or driver holds a column's values. Only one-hot encoding, whose result has a
 column per value, refuses a width (``max_width``).
 """
@@ -42,9 +43,13 @@ def sorted_codes(values: DataFrame) -> DataFrame:
             .select("c", "v", (F.col("cum_one") - F.col("first")).cast("double").alias("x")))
 
 
-def _looked_up(df: DataFrame, table: DataFrame, kind: str, col: str, key: Column, name: str) -> DataFrame:
-    """Adds ``name``: the number that the table holds for ``key``, NULL for other keys."""
-    side = table.where((F.col("kind") == kind) & (F.col("c") == col)).select(F.col("v").alias("__v"), F.col("x").alias(name))
+def _looked_up(model: TableModel, df: DataFrame, kind: str, col: str, key: Column, name: str) -> DataFrame:
+    """Adds ``name``: the number that the model's table holds for ``key``, NULL for other keys."""
+    few = model.small_lookups().get((kind, col))
+    if few is not None:
+        places = F.map_from_arrays(F.lit(list(few)), F.lit([float(x) for x in few.values()]))
+        return df.withColumn(name, F.try_element_at(places, key))
+    side = model.table().where((F.col("kind") == kind) & (F.col("c") == col)).select(F.col("v").alias("__v"), F.col("x").alias(name))
     return df.join(side, key == F.col("__v"), "left").drop("__v")
 
 
@@ -78,10 +83,9 @@ class FlexibleEncoderModel(TableModel):
         s, o = self.fitted, self.opts
         out = [F.col(c) for c in s["keep"] if c in df.columns]
         names = df.columns
-        table = self.table() if s["table"] else None
         for i, c in enumerate(s["label"]):
             if c in names:  # unseen → 0
-                df = _looked_up(df, table, "label", c, _text(F.col(c)), f"__label_{i}")
+                df = _looked_up(self, df, "label", c, _text(F.col(c)), f"__label_{i}")
                 out.append(F.coalesce(F.col(f"__label_{i}"), F.lit(0)).cast("long").alias(c))
         for c, cats in s["onehot"].items():
             if c in names:
@@ -91,7 +95,7 @@ class FlexibleEncoderModel(TableModel):
                 out.append(ordinal_expr(c, order).alias(c))
         for i, c in enumerate(s["frequency"]):
             if c in names:  # training share of the value; unseen or NULL → 0
-                df = _looked_up(df, table, "frequency", c, F.col(c).cast("string"), f"__freq_{i}")
+                df = _looked_up(self, df, "frequency", c, F.col(c).cast("string"), f"__freq_{i}")
                 out.append(F.coalesce(F.col(f"__freq_{i}"), F.lit(0.0)).alias(f"{c}_freq"))
         return df.select(*out)
 
@@ -162,7 +166,7 @@ class DictionaryEncoderModel(TableModel):
         names, new = df.columns, {}
         for i, c in enumerate(self.fitted["columns"]):
             if c in names:
-                df = _looked_up(df, self.table(), "code", c, F.col(c).cast("string"), f"__code_{i}")
+                df = _looked_up(self, df, "code", c, F.col(c).cast("string"), f"__code_{i}")
                 new[c] = F.coalesce(F.col(f"__code_{i}"), F.lit(-1)).cast("int")
         return df.select(*[new[c].alias(c) if c in new else F.col(c) for c in names])
 
@@ -186,7 +190,7 @@ class TargetEncoderModel(TableModel):
         s, names, new = self.fitted, df.columns, {}
         for i, c in enumerate(s["columns"]):
             if c in names:
-                df = _looked_up(df, self.table(), "mean", c, F.col(c).cast("string"), f"__mean_{i}")
+                df = _looked_up(self, df, "mean", c, F.col(c).cast("string"), f"__mean_{i}")
                 new[f"{c}_te"] = F.coalesce(F.col(f"__mean_{i}"), F.lit(s["prior"]).cast("double"))
         return df.select(*[F.col(c) for c in names if c not in new], *[e.alias(n) for n, e in new.items()])
 
