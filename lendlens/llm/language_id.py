@@ -1,7 +1,7 @@
 """Language identification by compression.
 
-Training collects whole texts of each language, chosen by a hash of their id
-and reduced to lower-cased words, as a raw-content zstandard dictionary of at most `DICTIONARY_BYTES`.  A text
+Training collects texts of each language, chosen by a hash of their id and reduced
+to lower-cased words, as a raw-content zstandard dictionary of at most `DICTIONARY_BYTES`.  A text
 goes to the language whose dictionary compresses it to the fewest bytes; the
 score comes from the margin to the second best, and narrow margins are marked
 as rejected.
@@ -22,6 +22,8 @@ from lendlens.llm.common import small_batches, train_row
 #: The bounded training sample: documents per language offered, and dictionary bytes filled with their whole texts.
 SAMPLE_DOCS = 400
 DICTIONARY_BYTES = 128 << 10
+#: Characters that a text larger than a dictionary lends to it.
+SLICE_CHARS = 16 << 10
 LEVEL = 3
 #: A margin (saved share of the second best size) below this is rejected.
 REJECT_MARGIN = 0.01
@@ -40,19 +42,25 @@ def train_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """{language: dictionary content} from rows with a language, a text and crc32(id) mod 5 other than 0.
 
     The ids are chosen first (a narrow top-k by hash per language), then their
-    texts are fetched; distinct texts enter whole, in order of the hash, until
-    the next doesn't fit; texts larger than a whole dictionary are passed over.
+    texts are fetched, each distinct text once; a text larger than a whole
+    dictionary gives a slice of SLICE_CHARS characters at a hashed place.  They
+    enter in order of the hash, passing over what doesn't fit any more.
     """
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & train_row(id_col)
-                       & (F.octet_length(text_col) <= DICTIONARY_BYTES))
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & train_row(id_col))
     order = Window.partitionBy("lang").orderBy("h", "id")
     ids = (known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
            .withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_DOCS).select("id", "lang", "h"))
     # At most SAMPLE_DOCS ids per language.
     texts = known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
+    place = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - SLICE_CHARS, F.lit(1))) + 1
+    piece = F.when(F.octet_length("text") > DICTIONARY_BYTES, F.substr("text", place.cast("int"), F.lit(SLICE_CHARS))).otherwise(F.col("text"))
+    texts = texts.select("lang", "h", "id", piece.alias("text")).groupBy("lang", "text").agg(F.min(F.struct("h", "id")).alias("o")).select("lang", "o.*", "text")
+    # The driver gets a few times the bytes of a dictionary per language: what may fit, and what is passed over.
+    before = Window.partitionBy("lang").orderBy("h", "id", "text").rowsBetween(Window.unboundedPreceding, -1)
+    texts = texts.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0))).where(F.col("before") <= 4 * DICTIONARY_BYTES)
     chosen: dict[str, list[bytes]] = {}
     full: dict[str, int] = {}
-    for row in sorted(texts.select("lang", "h", "id", "text").collect(), key=lambda r: (r["h"], r["id"], r["text"])):
+    for row in sorted(texts.select("lang", "h", "id", "text").collect(), key=lambda r: (r["h"], r["id"] is None, r["id"] or 0, r["text"])):
         raw, taken = letters_of(row["text"]).encode(), chosen.setdefault(row["lang"], [])
         if raw not in taken and full.get(row["lang"], 0) + len(raw) + 1 <= DICTIONARY_BYTES:
             taken.append(raw)

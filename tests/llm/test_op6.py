@@ -35,6 +35,17 @@ def test_edges(spark, make_docs):
     assert out[11, "the cat and the dog"]["lang_pred"] == "en"
 
 
+def test_a_language_of_long_texts_only(spark, make_docs):
+    words = "die Katze und der Hund waren nicht in dem alten Haus oder im Garten hinter der Stadt".split()
+    long = [" ".join(words[(k * j + j // 7) % len(words)] for j in range(40000)) for k in range(1, 5)]
+    rows = [(200 + k, t, "de") for k, t in enumerate(long)] + [(100 + k, "the cat and the dog were in the house and the garden " * 3, "en") for k in range(20)]
+    assert all(len(t) > L.DICTIONARY_BYTES for t in long) and any(zlib.crc32(str(200 + k).encode()) % 5 for k in range(4))
+    dictionaries = L.train_dictionaries(make_docs(rows))
+    assert set(dictionaries) == {"de", "en"} and all(len(d) <= L.DICTIONARY_BYTES for d in dictionaries.values())
+    found = L.identify(make_docs([(1, "Der Hund und die Katze waren im Garten"), (2, "the dog and the cat were in the garden")]), dictionaries)
+    assert {r["doc_id"]: r["lang_pred"] for r in found.collect()} == {1: "de", 2: "en"}
+
+
 def test_labels_of_held_out_rows_are_not_used(spark, make_docs):
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
     assert L.train_dictionaries(make_docs([(i, "some text", "en") for i in held])) == {}
