@@ -319,6 +319,21 @@ def a5_score_stream(spark, sf_dir):
     return spark.read.parquet(out_dir)
 
 
+@register("a5_stream_counts")
+def a5_stream_counts(spark, sf_dir):
+    """A5: prediction counts of the streamed files, kept in the state store over a restart in mid-stream."""
+    from lendlens.streaming.scoring import count_stream, latest_counts
+    res = _lr_run(spark, sf_dir)
+    mpath = ex.save_model(scratch_path(spark, "model"), res["model"], "logistic_regression", "preprocessed",
+                          res["features"], res["pipeline"])
+    in_dir, out_dir, ckpt = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-counts"), scratch_path(spark, "stream-ckpt")
+    half = F.xxhash64("ID") % 2 == 0
+    for part in (half, ~half):  # the second run finds the first one's state
+        res["test"].where(part).repartition(2).write.mode("append").parquet(in_dir)
+        count_stream(spark, mpath, in_dir, res["test"].schema, out_dir, ckpt, files_per_trigger=1).awaitTermination()
+    return latest_counts(spark, out_dir)
+
+
 _A1_COLS = ["ID", "AMT_ANNUITY", "NAME_TYPE_SUITE", "OWN_CAR_AGE", "DAYS_BIRTH"]
 
 

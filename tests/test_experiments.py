@@ -82,3 +82,22 @@ def test_failures_are_recorded_and_reruns_go_on(spark, tmp_path, monkeypatch, pa
     assert calls[3:] == ["random_forest"] and again["random_forest"]["error"] is None
     assert {m: again[m] for m in SMALL if m != "random_forest"} == {m: first[m] for m in SMALL if m != "random_forest"}
     assert run() == again and len(calls) == 4
+
+
+def test_streamed_counts_survive_a_restart(spark, tmp_path):
+    from lendlens.streaming.scoring import count_stream, latest_counts
+    train = table(spark).select("ID", "TARGET", "whole", F.coalesce("x", F.lit(9.0)).alias("x"))
+    model = fit_classifier(train, ["whole", "x"], "logistic_regression", params={"maxIter": 5})
+    path = ex.save_model(str(tmp_path / "model"), model, "logistic_regression", "raw", ["whole", "x"])
+    rows, n = train.drop("TARGET"), 0
+    for k in range(3):  # three runs of the stream, two files each, one file a batch
+        part = rows.where(F.col("ID") % 3 == k)
+        part.repartition(2).write.mode("append").parquet(str(tmp_path / "in"))
+        query = count_stream(spark, path, str(tmp_path / "in"), rows.schema, str(tmp_path / "out"), str(tmp_path / "ckpt"), files_per_trigger=1)
+        query.awaitTermination()
+        n += part.count()
+        got = {r["prediction"]: r["count"] for r in latest_counts(spark, str(tmp_path / "out")).collect()}
+        so_far = ex.score_frame(ex.load_model(path), rows.where(F.col("ID") % 3 <= k))
+        want = {r["prediction"]: r["count"] for r in so_far.groupBy("prediction").count().collect()}
+        assert got == want and sum(got.values()) == n
+    assert len(list((tmp_path / "out").iterdir())) == 6
