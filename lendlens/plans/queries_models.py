@@ -18,7 +18,7 @@ from lendlens.operators.neighbours import KnnImputer, smote
 from lendlens.plans import experiments as ex
 from lendlens.plans.catalog import apps, oracle, r, register
 from lendlens.plans.pipeline import create_preprocessing_pipeline, load_pipeline, save_pipeline
-from lendlens.session import scratch_path
+from lendlens.session import cut_lineage, scratch_path
 from lendlens.sources.tables import read_applications, write_table
 
 # ----------------------------------------------------------------- K1, K4
@@ -164,15 +164,29 @@ def k16_score_histogram_by_class(spark, sf_dir):
 
 
 # ------------------------------------------------------- K2, K3, C6
+def _checked_synthetic(out, rows, cont):
+    """Per class: rows, synthetic rows, and those that lie at their gap between two rows of their class."""
+    types = dict(rows.dtypes)
+    base = rows.select(F.col("ID").alias("base_id"), F.col("TARGET").alias("_b"), *[F.col(c).cast("double").alias(f"_b_{c}") for c in cont])
+    near = rows.select(F.col("ID").alias("neighbour_id"), F.col("TARGET").alias("_n"), *[F.col(c).cast("double").alias(f"_n_{c}") for c in cont])
+    right = (F.col("_b") == F.col("TARGET")) & (F.col("_n") == F.col("TARGET")) & (F.col("base_id") != F.col("neighbour_id")) & F.col("gap").between(0, 1)
+    for c in cont:
+        between = (F.col(f"_b_{c}") + F.col("gap") * (F.col(f"_n_{c}") - F.col(f"_b_{c}"))).cast(types[c])
+        right = right & (F.abs(F.col(c) - between) <= 1e-9 * F.greatest(F.abs(between), F.lit(1.0)))
+    joined = out.join(base, "base_id", "left").join(near, "neighbour_id", "left")
+    return joined.groupBy("TARGET").agg(F.count(F.lit(1)).alias("count"), F.count("base_id").alias("synthetic"),
+                                        F.count(F.when(right, 1)).alias("synthetic_right"))
+
+
 @register("k2_smote", oracle(_ALLOC_SQL + """
-SELECT TARGET, (SELECT max(n_tr) FROM alloc) AS count FROM alloc"""))
+SELECT TARGET, (SELECT max(n_tr) FROM alloc) AS count, (SELECT max(n_tr) FROM alloc) - n_tr AS synthetic,
+       (SELECT max(n_tr) FROM alloc) - n_tr AS synthetic_right FROM alloc"""))
 def k2_smote(spark, sf_dir):
-    """K2: SMOTE on the prepared train split; class counts after resampling."""
+    """K2: SMOTE on the prepared train split; every synthetic row is checked against its base row, neighbour and gap."""
     train, _ = ex.split_once(apps(spark, sf_dir))
-    prep = create_preprocessing_pipeline("logistic").fit(train)
-    tr = prep.transform(train)
+    tr = cut_lineage(create_preprocessing_pipeline("logistic").fit(train).transform(train))
     feats = [c for c in tr.columns if c not in ("ID", "TARGET")]
-    return smote(tr, feats, "TARGET", "ID", k=5, seed=42).groupBy("TARGET").agg(F.count(F.lit(1)).alias("count"))
+    return _checked_synthetic(smote(tr, feats, "TARGET", "ID", k=5, seed=42, provenance=True), tr, feats)
 
 
 _NC_NUM = ["AMT_CREDIT", "AMT_INCOME_TOTAL", "DAYS_BIRTH", "HOUR_APPR_PROCESS_START"]
@@ -180,13 +194,13 @@ _NC_NOM = ["NAME_INCOME_TYPE", "CODE_GENDER", "NAME_CONTRACT_TYPE"]
 
 
 @register("k3_smote_nc", oracle("""
-SELECT TARGET, (SELECT max(c) FROM (SELECT count(*) AS c FROM applications GROUP BY TARGET) m) AS count
-FROM applications GROUP BY TARGET"""))
+, c AS (SELECT TARGET, count(*) AS n FROM applications GROUP BY TARGET)
+SELECT TARGET, (SELECT max(n) FROM c) AS count, (SELECT max(n) FROM c) - n AS synthetic, (SELECT max(n) FROM c) - n AS synthetic_right FROM c"""))
 def k3_smote_nc(spark, sf_dir):
-    """K3: SMOTE-NC over numeric and nominal columns of the whole table."""
+    """K3: SMOTE-NC over numeric and nominal columns of the whole table; synthetic rows checked as in K2."""
     df = apps(spark, sf_dir).select("ID", "TARGET", *_NC_NUM, *_NC_NOM)
-    out = smote(df, _NC_NUM + _NC_NOM, "TARGET", "ID", k=5, seed=42, nominal_cols=_NC_NOM)
-    return out.groupBy("TARGET").agg(F.count(F.lit(1)).alias("count"))
+    out = smote(df, _NC_NUM + _NC_NOM, "TARGET", "ID", k=5, seed=42, nominal_cols=_NC_NOM, provenance=True)
+    return _checked_synthetic(out, df, _NC_NUM)
 
 
 @register("c6_knn_imputer")
