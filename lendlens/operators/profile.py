@@ -134,6 +134,19 @@ def describe(df: DataFrame, cols=None) -> DataFrame:
               "p50 double, p75 double, max double")
 
 
+def info(df: DataFrame) -> DataFrame:
+    """(place, column, dtype, non_null_count) of every column, in order, from one pass."""
+    counts = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    rows = F.array(*[F.struct(F.lit(i).alias("place"), F.lit(c).alias("column"), F.lit(t).alias("dtype"), F.col(f"n{i}").alias("non_null_count"))
+                     for i, (c, t) in enumerate(df.dtypes)])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def shape(df: DataFrame) -> DataFrame:
+    """(rows, columns)."""
+    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)).cast("long"))
+
+
 def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """Sort with explicit tie-breaks, keep ``n`` rows (Spark plans a
     TakeOrderedAndProject: per-partition top-n, then a merge of n×partitions)."""

@@ -188,6 +188,25 @@ def ordinal_metrics(df: DataFrame, col: str, order_mapping: dict | None = None)
                       np_round(F.col("cum_frequency") * 100.0 / total, 2).alias("cumulative_percentage"))
 
 
+# ---------------------------------------------------------------- M11
+def crosstab(df: DataFrame, row: str, col: str, normalize: bool = False, max_width: int = 1000) -> DataFrame:
+    """Counts of every pair of values as a table, a row per value of ``row`` and a column per value of ``col``
+    (its text; NULLs of either are left out), or, normalised, each column's shares.
+
+    The cells are one ``groupBy`` (combined map-side); only they are pivoted. ``col`` may have up to ``max_width``
+    values, as each becomes a column."""
+    cells = df.where(F.col(row).isNotNull() & F.col(col).isNotNull()).groupBy(
+        F.col(row).alias(row), F.col(col).cast("string").alias("__col")).agg(F.count(F.lit(1)).alias("__n"))
+    totals = {r["__col"]: r["n"] for r in cells.groupBy("__col").agg(F.sum("__n").alias("n")).limit(max_width + 1).collect()}
+    if len(totals) > max_width:
+        raise ValueError(f"{col}: a crosstab would have more than {max_width} columns")
+    if not totals:
+        return cells.select(row)
+    table = cells.groupBy(row).pivot("__col", sorted(totals)).agg(F.first("__n"))
+    count = {c: F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in sorted(totals)}
+    return table.select(row, *[(x / F.lit(float(totals[c])) if normalize else x).alias(c) for c, x in count.items()])
+
+
 # ---------------------------------------------------------------- H9–H11
 def contingency_stats(df: DataFrame, features, target: str = "TARGET", yates: bool = True) -> DataFrame:
     """H9 + H10 + H11 for many text features at once, from one

@@ -440,6 +440,20 @@ def b8_describe(spark, sf_dir):
     return profile.describe(apps(spark, sf_dir), _B8_COLS)
 
 
+@register("b8_info", oracle(" UNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS place, '{c}' AS \"column\", lower(replace(replace(typeof(any_value({c})), 'VARCHAR', 'string'), 'INTEGER', 'int')) AS dtype, "
+    f"count({c}) AS non_null_count FROM applications" for i, c in enumerate(APP_COLUMNS))))
+def b8_info(spark, sf_dir):
+    """Type and non-null count of every column."""
+    return profile.info(apps(spark, sf_dir))
+
+
+@register("b8_shape", oracle(f"SELECT count(*) AS rows, CAST({len(APP_COLUMNS)} AS BIGINT) AS columns FROM applications"))
+def b8_shape(spark, sf_dir):
+    """Rows and columns."""
+    return profile.shape(apps(spark, sf_dir))
+
+
 @register("b9_top_n", oracle("SELECT ID, AMT_CREDIT FROM applications ORDER BY AMT_CREDIT DESC, ID ASC LIMIT 10"))
 def b9_top_n(spark, sf_dir):
     """Ten largest credits, id as tie-break."""

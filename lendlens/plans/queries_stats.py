@@ -173,6 +173,30 @@ def _contingency_select(i: int = 0) -> str:
 _NOMINAL = ["NAME_INCOME_TYPE", "NAME_CONTRACT_TYPE", "ORGANIZATION_TYPE", "OCCUPATION_TYPE", "CODE_GENDER"]
 
 
+def _cross_sql(row, col, values, normalize):
+    cell = lambda v: f"count(*) FILTER (WHERE {col} = '{v}')"
+    name = lambda v: '"' + v + '"'
+    if not normalize:
+        return f"SELECT {row}, " + ", ".join(f"CAST({cell(v)} AS BIGINT) AS {name(v)}" for v in values) + f" FROM applications WHERE {row} IS NOT NULL GROUP BY {row}"
+    share = lambda v: r(f"{cell(v)} * 1.0 / (SELECT count(*) FROM applications WHERE {col} = '{v}' AND {row} IS NOT NULL)")
+    return f"SELECT {row}, " + ", ".join(f"{share(v)} AS {name(v)}" for v in values) + f" FROM applications WHERE {row} IS NOT NULL GROUP BY {row}"
+
+
+_SUITES = ["Children", "Family", "Other_A", "Spouse, partner", "Unaccompanied"]
+
+
+@register("m11_crosstab", oracle(_cross_sql("NAME_EDUCATION_TYPE", "NAME_TYPE_SUITE", _SUITES, False)))
+def m11_crosstab(spark, sf_dir):
+    """Education by accompanying person, as a table of counts."""
+    return stats.crosstab(apps(spark, sf_dir), "NAME_EDUCATION_TYPE", "NAME_TYPE_SUITE")
+
+
+@register("m11_crosstab_normalized", oracle(_cross_sql("OCCUPATION_TYPE", "NAME_TYPE_SUITE", _SUITES, True)))
+def m11_crosstab_normalized(spark, sf_dir):
+    """Shares of occupations within each accompanying person."""
+    return stats.crosstab(apps(spark, sf_dir), "OCCUPATION_TYPE", "NAME_TYPE_SUITE", normalize=True)
+
+
 @register("h9_contingency_stats", oracle(
     "".join(_contingency_sql(f, i) for i, f in enumerate(_NOMINAL)) + " " +
     " UNION ALL ".join(_contingency_select(i) for i in range(len(_NOMINAL)))))
