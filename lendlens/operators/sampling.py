@@ -19,8 +19,6 @@ from lendlens.session import scratch_path
 
 HASH_BITS = 52  # exactly representable as a double
 CELL_BITS = 13
-#: Classes up to which their table is broadcast to all rows.
-BROADCAST_CLASSES = 100_000
 
 
 def split_hash(id_col: str, seed: int) -> Column:
@@ -28,16 +26,13 @@ def split_hash(id_col: str, seed: int) -> Column:
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
-    """A small table in the shared scratch folder: computed once, however often the result is read."""
+    """A table of classes in the shared scratch folder: computed once, and of a known size, by which the planner
+    broadcasts it or not."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES else df
-
-
 def class_counts(df: DataFrame, label: str) -> DataFrame:
     """(y, n): rows of each class, NULL being one."""
     return df.groupBy(F.col(label).alias("y")).agg(F.count(F.lit(1)).alias("n"))
@@ -77,15 +72,15 @@ def stratified_split(df: DataFrame, label: str = "TARGET", id_col: str = "ID", t
     for level in (1, 2):
         cell = F.shiftright("h", HASH_BITS - level * CELL_BITS)
         counts = cells.groupBy("y", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-        need = _stored(_holding_cell(counts.join(_sized(need), same).select("y", "need", "cell", "n")), "split-cells")
-        cells = rows.join(_sized(need), same & (cell == F.col("at"))).select("y", "id", "h", "need")
+        need = _stored(_holding_cell(counts.join(need, same).select("y", "need", "cell", "n")), "split-cells")
+        cells = rows.join(need, same & (cell == F.col("at"))).select("y", "id", "h", "need")
         need = need.drop("at")
         if level == 1:
             cells = cells.drop("need")
     place = Window.partitionBy("y").orderBy("h", "id")  # the rows of one cell of 2**26
     last = cells.withColumn("place", F.row_number().over(place)).where("place = need")
     last = _stored(last.select(F.col("y").alias("__y"), F.struct("h", "id").alias("__last")), "split-thresholds")
-    out = df.join(_sized(last), F.col(label).eqNullSafe(F.col("__y")), "left")
+    out = df.join(last, F.col(label).eqNullSafe(F.col("__y")), "left")
     mine = F.struct(split_hash(id_col, seed).alias("h"), F.col(id_col).alias("id"))
     test = F.coalesce(mine <= F.col("__last"), F.lit(False))
     return out.withColumn(split_col, F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("__y", "__last")
@@ -106,4 +101,4 @@ def class_weights(df: DataFrame, label: str = "TARGET") -> DataFrame:
 def with_class_weight(df: DataFrame, label: str = "TARGET", weight_col: str = "weight") -> DataFrame:
     """K4 as a column: the balanced weight of each row's class, joined from the stored table of classes."""
     weights = _stored(class_weights(df, label).select(F.col("y").alias("__y"), F.col("weight").alias("__weight")), "class-weights")
-    return df.join(_sized(weights), F.col(label).eqNullSafe(F.col("__y")), "left").withColumn(weight_col, F.col("__weight")).drop("__y", "__weight")
+    return df.join(weights, F.col(label).eqNullSafe(F.col("__y")), "left").withColumn(weight_col, F.col("__weight")).drop("__y", "__weight")
