@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lendlens.llm.common import sized_broadcast, written
 
 #: (rule, verdict): the fixed rules of the query.
-RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "block"), ("com/de/", "block"))
+RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 #: Labelled URLs that the trees are fitted on.
 SAMPLE_ROWS = 20_000
 TREES, TREE_DEPTH = 20, 4
